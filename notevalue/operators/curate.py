@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from notevalue.functions import fixed, price, text
 from notevalue.operators.ordering import smallest_per_group, with_position
 from notevalue.operators.quantiles import exact_quantiles
+from notevalue.session import cut
 
 SPLITS = ("train", "validation", "test")
 
@@ -42,9 +43,12 @@ def parse_reviews(
     # The price test comes first and alone, so it can reach the file scan.
     priced = raw.filter(F.col("price").isNotNull()).withColumn("price", _raw_price())
     priced = priced.filter(F.col("price").between(min_price, max_price))
-    cleaned = priced.select(
+    # Exploding one element keeps the length filter above the cleaning, which a pushed filter would
+    # run a second time.
+    noted = priced.withColumn("description", F.explode(F.array(text.clean(F.col("description")))))
+    cleaned = noted.filter(F.length("description") >= min_chars).select(
         "ordinal",
-        text.clean(F.col("description")).alias("description"),
+        "description",
         "price",
         F.col("points").try_cast("bigint").alias("points"),
         *[text.clean(F.col(name)).alias(name) for name in ("variety", "country", "province")],
@@ -52,7 +56,7 @@ def parse_reviews(
         *[text.clean(F.col(name)).alias(name) for name in ("winery", "designation")],
         text.clean(F.col("taster_name")).alias("taster"),
         text.clean(F.col("title")).alias("title"),
-    ).filter((F.length("description") >= min_chars) & F.col("points").isNotNull())
+    ).filter(F.col("points").isNotNull())
     return with_composed(with_vintage(cleaned))
 
 
@@ -209,9 +213,11 @@ def split_sizes(df: DataFrame) -> DataFrame:
 def describe_target(df: DataFrame) -> DataFrame:
     """Median, mean and 95th percentile price; median and 99th percentile note length."""
     one = F.lit(1).alias("_one")
-    mean = df.agg(F.count("*").alias("n"), F.avg("price").alias("mean_price")).select("*", one)
-    prices = exact_quantiles(df, F.col("price"), {"median_price": 0.5, "p95_price": 0.95}).select("*", one)
-    lengths = exact_quantiles(df, F.length("description"), {"median_chars": 0.5, "p99_chars": 0.99}).select("*", one)
+    # Five passes follow; they read this two-number table instead of the texts.
+    narrow = cut(df.select("price", F.length("description").alias("_chars")))
+    mean = narrow.agg(F.count("*").alias("n"), F.avg("price").alias("mean_price")).select("*", one)
+    prices = exact_quantiles(narrow, F.col("price"), {"median_price": 0.5, "p95_price": 0.95}).select("*", one)
+    lengths = exact_quantiles(narrow, F.col("_chars"), {"median_chars": 0.5, "p99_chars": 0.99}).select("*", one)
     # Three single summary rows.
     return mean.join(prices, "_one").join(lengths, "_one").drop("_one")
 
@@ -230,7 +236,7 @@ def facet_profile(df: DataFrame, facets: Sequence[str] = ("country", "variety",
         F.struct(F.lit(facet).alias("facet"), F.coalesce(text.present(F.col(facet)), F.lit("unknown")).alias("value"))
         for facet in facets
     ])
-    long = df.select("price", F.inline(entries))
+    long = cut(df.select("price", *facets)).select("price", F.inline(entries))
     counts = long.groupBy("facet", "value").agg(F.count("*").alias("n"))
     distinct = counts.groupBy("facet").agg(F.count("*").alias("distinct_values"))
     by_size = Window.partitionBy("facet").orderBy(F.desc("n"), "value")

@@ -19,8 +19,9 @@ VAL_SHARE = 0.1
 TEST_SHARE = 0.1
 CAP = 500
 
+# Neither side of this join is bounded, so it is asked to shuffle whatever the size at hand.
 REVIEWS = """
-SELECT d.doc_id AS ordinal,
+SELECT /*+ MERGE(e) */ d.doc_id AS ordinal,
        d.text AS description,
        e.value AS price,
        CAST(80 + d.n_chars % 21 AS BIGINT) AS points,
