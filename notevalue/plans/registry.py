@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from notevalue.plans import curation, scoring
+from notevalue.plans import curation, modelling, scoring
 
-MODULES = (curation, scoring)
+MODULES = (curation, scoring, modelling)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: text.strip() for module in MODULES for name, text in module.ORACLES.items()}

@@ -78,7 +78,7 @@ def main() -> None:
                 rows = f"{len(df.collect())} rows, no SQL"
                 problem = None
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+            problem = f"{type(error).__name__}: {str(error)[:300]} ... {str(error)[-900:]}"
         print(f"{'ok  ' if problem is None else 'FAIL'} {name:32} {time.time() - started:6.2f}s {problem or rows}", flush=True)
         if problem:
             failed.append(name)
