@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from notevalue.functions import fixed, price
 from notevalue.operators.features import PopScaler, RareOneHot, TextVectors, feature_frame
-from notevalue.session import cut
+from notevalue.session import cut, path_exists
 
 LABEL = "_log_price"
 # Solver settings. At this tolerance guesses agree with the closed form to about a tenth of a percent.
@@ -175,8 +175,7 @@ def _write_settings(spark: SparkSession, path: str, settings: dict) -> None:
 
 
 def _read_settings(spark: SparkSession, path: str) -> dict | None:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/settings/_SUCCESS")
-    if not location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location):
+    if not path_exists(spark, f"{path}/settings/_SUCCESS"):
         return None
     return json.loads(spark.read.text(f"{path}/settings").first()["value"])
 

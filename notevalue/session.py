@@ -55,3 +55,9 @@ def cut(df: DataFrame) -> DataFrame:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for tables one run writes and reads again."""
     return f"{shared_dir(spark).rstrip('/')}/notevalue/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether `path` exists on whatever file system it names."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
