@@ -62,12 +62,14 @@ def truncate_text(
 
     @F.pandas_udf("string")
     def shorten(texts: pd.Series) -> pd.Series:
-        token_lists = encode(texts)
+        known = texts.dropna()
+        token_lists = encode(known)
         over = token_lists.map(len) > cutoff
-        shortened = decode(token_lists[over].map(lambda tokens: tokens[:cutoff]))
-        return texts.mask(over, shortened.map(lambda value: value.rsplit(" ", 1)[0]))
+        decoded = decode(token_lists[over].map(lambda tokens: tokens[:cutoff]))
+        known = known.mask(over, decoded.map(lambda value: value.rsplit(" ", 1)[0]))
+        return known.reindex(texts.index).astype(object).where(texts.notna(), None)
 
-    return df.withColumn(column, F.when(F.col(column).isNotNull(), shorten(F.col(column))))
+    return df.withColumn(column, shorten(F.col(column)))
 
 
 def _occurrences(prompt: Column) -> Column:

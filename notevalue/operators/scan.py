@@ -18,8 +18,9 @@ from notevalue.sources.seen import listing_key, load_seen, write_seen
 # A reader adds `reply`, the JSON a model returned for the article in `text`.
 Reader = Callable[[DataFrame], DataFrame]
 
-# The entities the pattern variant decodes, the ampersand last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"))
+# The entities the pattern variant decodes, the ampersand last. Old ones may lack the
+# semicolon.
+ENTITIES = (("&nbsp;?", " "), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "'"), ("&#39;?", "'"), ("&amp;?", "&"))
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
@@ -32,7 +33,7 @@ def readable(html: Column) -> Column:
         html = F.regexp_replace(html, rf"(?is)<{element}\b[^>]*>.*?</{element}\s*>", " ")
     html = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     html = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
-    decoded = reduce(lambda value, pair: F.replace(value, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, html)
+    decoded = reduce(lambda value, pair: F.regexp_replace(value, pair[0], pair[1]), ENTITIES, html)
     return F.coalesce(text.clean(decoded), F.lit(""))
 
 

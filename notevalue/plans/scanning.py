@@ -182,8 +182,8 @@ def _readable(column: str) -> str:
     for element in ("script", "style", "nav", "footer", "header", "form"):
         column = rf"regexp_replace({column}, '(?is)<{element}\b[^>]*>.*?</{element}\s*>', ' ', 'g')"
     column = f"regexp_replace(regexp_replace({column}, '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
-    for entity, character in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&amp;", "&")):
-        column = f"replace({column}, '{entity}', '{character}')"
+    for entity, character in (("&nbsp;?", " "), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&apos;", "''"), ("&#39;?", "''"), ("&amp;?", "&")):
+        column = f"regexp_replace({column}, '{entity}', '{character}', 'g')"
     return rf"trim(regexp_replace({column}, '\s+', ' ', 'g'))"
 
 
@@ -196,6 +196,7 @@ _OUT = "key, price, estimate, round(estimate - price, 6) AS discount"
 
 ORACLES = {
     "l1_page_text": f"SELECT page_id, {_readable('html')} AS body FROM pages",
+    "l1_page_text_parser": f"SELECT page_id, {_readable('html')} AS body FROM pages",
     "l2_per_feed": f"""
 WITH {_ARTICLES} SELECT feed, position, url FROM articles
 QUALIFY row_number() OVER (PARTITION BY feed ORDER BY position) <= {PER_FEED}""",
