@@ -43,9 +43,7 @@ def parse_reviews(
     # The price test comes first and alone, so it can reach the file scan.
     priced = raw.filter(F.col("price").isNotNull()).withColumn("price", _raw_price())
     priced = priced.filter(F.col("price").between(min_price, max_price))
-    # Exploding one element keeps the length filter above the cleaning, which a pushed filter would
-    # run a second time.
-    noted = priced.withColumn("description", F.explode(F.array(text.clean(F.col("description")))))
+    noted = text.settle(priced, "description", text.clean(F.col("description")))
     cleaned = noted.filter(F.length("description") >= min_chars).select(
         "ordinal",
         "description",

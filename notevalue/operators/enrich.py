@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notevalue.functions import fixed, replies
+from notevalue.functions import fixed, replies, text
 from notevalue.operators.ordering import first_rows, running_total
 from notevalue.session import cut
 
@@ -24,8 +24,8 @@ def pending(df: DataFrame, cache: DataFrame, limit: int | None = None) -> DataFr
 
 def with_reading(df: DataFrame, reply: str = "reply", out: str = "tasting") -> DataFrame:
     """Adds the validated structured reading of a JSON reply, null when it is not valid."""
-    parsed = df.withColumn("_parsed", F.try_parse_json(F.col(reply)))
-    return parsed.withColumn(out, replies.tasting(F.col("_parsed"))).drop("_parsed")
+    parsed = text.settle(df, "_parsed", F.try_parse_json(F.col(reply)))
+    return text.settle(parsed, out, replies.tasting(F.col("_parsed"))).drop("_parsed")
 
 
 def validate_replies(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -28,7 +28,7 @@ def feature_frame(df: DataFrame) -> DataFrame:
         **{name: F.coalesce(text.present(F.col(name)), F.lit("unknown")) for name in fixed.METADATA},
         "vintage": F.coalesce("vintage", F.lit(0).cast("bigint")),
         "note_length": F.length("description").cast("bigint"),
-        "word_count": F.size(text.words(F.col("description"))).cast("bigint"),
+        "word_count": text.word_count(F.col("description")),
     })
 
 
@@ -166,6 +166,13 @@ def term_table(
     )
 
 
+def sparse_entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, position and value of every stored entry of an Arrow batch of sparse vectors."""
+    values = vectors.field("values")
+    rows = np.repeat(np.arange(len(vectors)), values.value_lengths().to_numpy(zero_copy_only=False))
+    return rows, vectors.field("indices").flatten().to_numpy(), values.flatten().to_numpy()
+
+
 @dataclass(frozen=True)
 class TextVectors:
     """Weighted term vectors: 1 + ln(count), times idf, scaled to length 1."""
@@ -189,14 +196,14 @@ class TextVectors:
         counter.setMinTF(0)
         shared = df.sparkSession.sparkContext.broadcast(self.idf)
 
-        @F.pandas_udf(VectorUDT())
-        def weigh(counts: pd.DataFrame) -> pd.DataFrame:
-            weights = []
-            for index, values in zip(counts["indices"], counts["values"], strict=True):
-                row = (1.0 + np.log(np.asarray(values))) * shared.value[np.asarray(index, dtype=int)]
-                length = np.sqrt((row * row).sum())
-                weights.append(row / length if length else row)
-            return counts[["type", "size", "indices"]].assign(values=weights)
+        @F.arrow_udf(VectorUDT())
+        def weigh(counts: pa.Array) -> pa.Array:
+            rows, index, values = sparse_entries(counts)
+            weights = (1.0 + np.log(values)) * shared.value[index]
+            length = np.sqrt(np.bincount(rows, weights * weights, minlength=len(counts)))
+            scaled = pa.ListArray.from_arrays(counts.field("values").offsets, pa.array(weights / length[rows]))
+            fields = [counts.field("type"), counts.field("size"), counts.field("indices"), scaled]
+            return pa.StructArray.from_arrays(fields, ["type", "size", "indices", "values"])
 
         counted = counter.transform(with_terms(df, self.ngrams))
         return counted.withColumn(out, weigh(F.unwrap_udt("_counts"))).drop("_terms", "_counts")

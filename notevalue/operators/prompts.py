@@ -104,7 +104,7 @@ def inference_prompts(df: DataFrame) -> DataFrame:
 
 def length_profile(df: DataFrame, cutoff: int = fixed.CUTOFF, column: str = "full") -> DataFrame:
     """Token counts of a text column: median, p95, p99, longest, and what the cut-off shortens."""
-    sized = cut(df.select(F.size(text.words(F.col(column))).cast("bigint").alias("tokens")))
+    sized = cut(df.select(text.word_count(F.col(column)).alias("tokens")))
     one = F.lit(1).alias("_one")
     over = F.col("tokens") > cutoff
     totals = sized.agg(
@@ -122,7 +122,7 @@ def length_gate(df: DataFrame, max_length: int = fixed.MAX_LENGTH, column: str =
 
     Long notes belong to expensive bottles, so losses fall into the thin top bins.
     """
-    over = F.size(text.words(F.col(column))) > max_length
+    over = text.word_count(F.col(column)) > max_length
     return df.groupBy(price.price_bin(F.col("price")).alias("bin")).agg(
         F.count("*").alias("n"), F.count_if(over).alias("too_long")
     )

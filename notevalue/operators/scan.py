@@ -131,8 +131,8 @@ def listings(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     One bad listing discards its whole article. An empty address becomes the article's.
     """
-    parsed = answers.withColumn("_wines", F.try_variant_get(F.try_parse_json("reply"), "$.wines", "array<variant>"))
-    read = parsed.withColumn("_found", F.transform("_wines", _listing)).drop("_wines")
+    parsed = text.settle(answers, "_wines", F.try_variant_get(F.try_parse_json("reply"), "$.wines", "array<variant>"))
+    read = text.settle(parsed, "_found", F.transform("_wines", _listing)).drop("_wines")
     usable = F.col("_found").isNotNull() & F.forall("_found", lambda wine: wine.isNotNull())
     good = read.filter(usable).select("article_url", F.explode("_found").alias("_wine"))
     found = good.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notevalue.functions import replies
+from notevalue.functions import replies, text
 
 
 def append_results(df: DataFrame, path: str, batch: int) -> None:
@@ -28,13 +28,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("offset"),
             F.monotonically_increasing_id().alias("line"),
         ).alias("seq"),
-        F.try_parse_json("value").alias("_parsed"),
-    )
-    read = lines.select(
-        "seq",
-        F.when(replies.field_type(F.col("_parsed"), "$.id") == "BIGINT", F.try_variant_get("_parsed", "$.id", "bigint")).alias("id"),
-        replies.tasting(F.col("_parsed"), "$.tasting").alias("tasting"),
+        "value",
     )
+    parsed = text.settle(lines, "_parsed", F.try_parse_json("value"))
+    whole = replies.field_type(F.col("_parsed"), "$.id") == "BIGINT"
+    keyed = parsed.withColumn("id", F.when(whole, F.try_variant_get("_parsed", "$.id", "bigint")))
+    read = text.settle(keyed, "tasting", replies.tasting(F.col("_parsed"), "$.tasting")).select("seq", "id", "tasting")
     return read.filter(F.col("id").isNotNull() & F.col("tasting").isNotNull())
 
 
