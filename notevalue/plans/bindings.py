@@ -52,8 +52,9 @@ SELECT id, price AS truth, variety || ' ' || CAST(id AS VARCHAR(20)) AS label, m
             WHEN id % 11 = 0 THEN CAST(0 AS DOUBLE)
             WHEN id % 13 = 0 THEN CAST(-5 AS DOUBLE)
             ELSE CAST(10 * (1 + id % 12) AS DOUBLE) END AS guess
-FROM (SELECT event_id AS id, value AS price, event_type AS variety FROM {events} WHERE value BETWEEN 4 AND 500) p
-CROSS JOIN (SELECT 'Constant' AS model UNION ALL SELECT 'Scaled' UNION ALL SELECT 'Coarse') m
+FROM (SELECT event_id AS id, value AS price, event_type AS variety, 'Constant' AS model FROM {events} WHERE value BETWEEN 4 AND 500
+      UNION ALL SELECT event_id, value, event_type, 'Scaled' FROM {events} WHERE value BETWEEN 4 AND 500
+      UNION ALL SELECT event_id, value, event_type, 'Coarse' FROM {events} WHERE value BETWEEN 4 AND 500) p
 """
 
 
