@@ -158,10 +158,9 @@ def term_table(
         .agg(F.count("*").alias("tf"), F.count_if(F.col("first")).alias("df"))
         .filter(F.col("df") >= min_df)
     )
-    top = counts.orderBy(F.desc("tf"), "term").limit(max_features).withColumn("_one", F.lit(1))
-    # One row on the other side: the number of notes.
-    notes = df.agg(F.count("*").alias("_notes")).withColumn("_one", F.lit(1))
-    return top.join(notes, "_one").select("term", "tf", "df", (F.log((F.col("_notes") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    notes = df.count()
+    top = counts.orderBy(F.desc("tf"), "term").limit(max_features)
+    return top.withColumn("idf", F.log(F.lit(notes + 1) / (F.col("df") + 1)) + 1)
 
 
 def sparse_entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
