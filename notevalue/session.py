@@ -43,18 +43,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage and go on from there.
+    """Write `df` once as Parquet below the shared folder and go on from the written table.
 
     Used where several branches read one costly result, or where a Python scorer must not be
-    called again for rows it has already answered.
+    called again for rows it has already answered. Later readers scan only the columns they need.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for tables one run writes and reads again."""
-    return f"{shared_dir(spark).rstrip('/')}/notevalue/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder for tables one run writes and reads again.
+
+    The folder of the application is removed when its JVM ends.
+    """
+    root = f"{shared_dir(spark).rstrip('/')}/notevalue/{spark.sparkContext.applicationId}"
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        files.mkdirs(location)
+        files.deleteOnExit(location)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
