@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notevalue.llm import decontaminate, packing, quality_model, secrets, simhash, toxicity
-from notevalue.session import cut
+from notevalue.llm import decontaminate, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, simhash, token_counts, toxicity
+from notevalue.session import cut, work_path
 
 TOXIC_AT = 0.3
 GOOD_AT = 0.5
@@ -26,6 +26,23 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return docs.join(labels.filter(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label)), "doc_id")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A stand-in for the secret that a deployment reads from its own store.
+    return pseudonyms.pseudonymise(docs, "corpus-key-1")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size, crc = F.coalesce(F.octet_length("text"), F.lit(0)) + 1, F.crc32(F.coalesce(F.encode("text", "utf-8"), F.lit(b"")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", size.cast("long").alias("size"), crc.alias("text_crc32"))
+    dealt = sharding.shuffle(rows, ["doc_id", "text_crc32"])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -66,5 +83,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op5_secrets, op6_toxicity, op7_decontamination, op8_quality, op9_packing)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything is inserted, exact copies are deleted, texts with repeated lines are revised; every batch is sent twice."""
+    docs = table(spark, sf_dir, "documents")
+    counted = cut(token_counts.count_texts(docs, {"byte_bpe_50k/1": packing.byte_bpe_50k, "space_words/1": token_counts.space_words}))
+    revised = docs.withColumn("text", F.array_join(F.array_distinct(F.split("text", "\n")), "\n")).filter(F.octet_length("text") < F.octet_length(docs["text"]))
+    recounted = cut(token_counts.count_texts(revised, {"byte_bpe_50k/1": packing.byte_bpe_50k, "space_words/1": token_counts.space_words}))
+    first = docs.groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("first"))
+    copies = docs.select("doc_id", F.md5("text").alias("digest")).join(first, "digest").filter("doc_id > first").select("doc_id").distinct()
+    ledger = token_counts.Ledger(spark, work_path(spark, "token-counts"))
+    gone = counted.join(copies, "doc_id", "left_semi")
+    changed = token_counts.revisions(counted.join(copies, "doc_id", "left_anti"), recounted)
+    for batch, signed in (("1-insert", token_counts.inserts(counted)), ("2-delete", token_counts.deletes(gone)), ("3-revise", changed)) * 2:
+        ledger.commit(batch, signed)
+    return ledger.totals()
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_pseudonyms, op3_sharding, op4_simhash, op5_secrets, op6_toxicity, op7_decontamination, op8_quality, op9_packing, op10_token_counts)}
 ORACLES: dict[str, str] = {}
