@@ -2,9 +2,10 @@
 
 Windows of ten consecutive benchmark words are looked up by their rarest terms: the term counts of
 the corpus are taken first, then the postings (text, position) of each window's two rarest terms are
-stored, each with the words around it. The offset-adjusted lists of the two terms are intersected;
-what remains is compared word by word with the stored surroundings, so the text is read twice and
-never shuffled. The same postings answer proximity questions.
+stored, those of rarest terms with the words around them. From a posting of the rarest term, the
+second one's offset-adjusted place is looked up in the stored surroundings; what has both is compared
+word by word, so the text is read twice and never shuffled. The lists of both terms answer proximity
+questions.
 
 The benchmark's terms travel to the tasks in blocks of at most BLOCK windows, one pass each.
 """
@@ -22,8 +23,8 @@ from notevalue.llm.rows import map_text, slices
 from notevalue.session import cut
 
 WINDOW = 10
-# Windows whose terms are sent to the tasks at once: about 100 MB of Python objects.
-BLOCK = 200_000
+# Windows whose terms are sent to the tasks at once: at most some 15 MB, broadcast.
+BLOCK = 50_000
 # Two rare terms of a window within so many words of each other are a proximity match.
 REACH = 20
 # ASCII letters are lower-cased; every ASCII character but digits and letters parts words.
@@ -80,13 +81,13 @@ def anchored(found: DataFrame, counts: DataFrame) -> DataFrame:
     return ranked.filter("NOT missing AND role <= 2").select("window", "words", "term", "at", "role")
 
 
-def postings(docs: DataFrame, terms: list[bytes], text: str = "text", size: int = WINDOW) -> DataFrame:
+def postings(docs: DataFrame, terms: dict[bytes, bool], text: str = "text", size: int = WINDOW) -> DataFrame:
     """One row per row of `docs` (all columns but `text`): `n_words`, and `found`, the postings of `terms`.
 
-    A posting is (term, pos, first, around): `around` holds the words from place `first` on, up to
-    `size` - 1 on either side.
+    A posting is (term, pos, first, around). For terms marked true `around` holds the words from
+    place `first` on, up to `size` - 1 on either side; for others it is empty.
     """
-    wanted = frozenset(terms)
+    wanted = terms
     kept = [c for c in docs.columns if c != text]
     kind = pa.list_(pa.struct([("term", pa.string()), ("pos", pa.int32()), ("first", pa.int32()), ("around", pa.list_(pa.string()))]))
 
@@ -96,11 +97,10 @@ def postings(docs: DataFrame, terms: list[bytes], text: str = "text", size: int
             words = words_of(body)
             counts.append(len(words))
             rows = []
-            if not wanted.isdisjoint(words):
-                for pos, word in enumerate(words):
-                    if word in wanted:
-                        first = max(0, pos - size + 1)
-                        rows.append({"term": word.decode(), "pos": pos, "first": first, "around": [w.decode() for w in words[first : pos + size]]})
+            for pos in [i for i, word in enumerate(words) if word in wanted]:
+                first = max(0, pos - size + 1)
+                around = [w.decode() for w in words[first : pos + size]] if wanted[words[pos]] else []
+                rows.append({"term": words[pos].decode(), "pos": pos, "first": first, "around": around})
             found.append(rows)
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(found, kind)], names=[*kept, "n_words", "found"])
 
@@ -116,24 +116,25 @@ def postings(docs: DataFrame, terms: list[bytes], text: str = "text", size: int
 
 
 def _hits(listed: DataFrame, anchors: DataFrame) -> DataFrame:
-    """`row, window, start, size` of exact occurrences: both lists, shifted to the window's start, meet."""
-    # Roles of a window, as one row per term: the terms' share of the corpus doesn't multiply this side.
-    need = anchors.withColumn("roles", F.count("*").over(Window.partitionBy("window")))
-    met = listed.join(need, "term").select("row", "window", "words", "roles", "role", (F.col("pos") - F.col("at")).alias("start"), "pos", "first", "around")
+    """`row, window, start, size` of exact occurrences, from the rarest term's postings on."""
+    second = anchors.filter("role = 2").select("window", F.col("term").alias("term2"), F.col("at").alias("at2"))
+    need = anchors.filter("role = 1").join(second, "window", "left").select("term", F.xxhash64("window").alias("window"), "words", "at", "term2", "at2")
+    start = F.col("pos") - F.col("at")
+    met = listed.join(F.broadcast(need), "term").filter(start >= F.col("first")).withColumn("start", start)
+    # Where the second term's list, shifted by its place in the window, must meet this posting.
+    other = F.get("around", F.col("start") - F.col("first") + F.col("at2"))
+    met = met.filter(F.col("term2").isNull() | (other == F.col("term2")))
     inside = F.slice("around", F.col("start") - F.col("first") + 1, F.size("words"))
-    both = Window.partitionBy("row", "window", "start")
-    met = met.filter("start >= 0 AND start >= first").withColumn("present", F.count("*").over(both))
-    exact = met.filter((F.col("present") == F.col("roles")) & (F.col("role") == 1) & (inside == F.col("words")))
-    return exact.select("row", "window", "start", F.size("words").alias("size"))
+    return met.filter(inside == F.col("words")).select("row", "window", "start", F.size("words").alias("size"))
 
 
 def _near(listed: DataFrame, anchors: DataFrame, reach: int) -> DataFrame:
     """`row, window` where postings of the window's two rarest terms lie within `reach` words, in any order."""
-    met = listed.join(anchors.select("term", "window", "role"), "term").select("row", "window", "pos", "role")
+    need = anchors.select("term", F.xxhash64("window").alias("window"), "role")
+    met = listed.select("row", "term", "pos").join(F.broadcast(need), "term").select("row", "window", "pos", "role")
     before = Window.partitionBy("row", "window").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    other = F.last(F.when(F.col("role") == 2, F.col("pos")), ignorenulls=True).over(before)
-    mine = F.last(F.when(F.col("role") == 1, F.col("pos")), ignorenulls=True).over(before)
-    gap = F.col("pos") - F.when(F.col("role") == 1, other).otherwise(mine)
+    last = lambda role: F.last(F.when(F.col("role") == role, F.col("pos")), ignorenulls=True).over(before)
+    gap = F.col("pos") - F.when(F.col("role") == 1, last(2)).otherwise(last(1))
     return met.withColumn("gap", gap).filter(F.col("gap") <= reach).select("row", "window").distinct()
 
 
@@ -168,7 +169,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "item_id", text: st
         terms = [r[0].encode() for r in part.select(F.explode("words")).distinct().collect()]
         counts = cut(term_counts(docs, terms, text))
         anchors = cut(anchored(part, counts))
-        rare = [r[0].encode() for r in anchors.select("term").distinct().collect()]
+        rare = {r[0].encode(): r[1] for r in anchors.groupBy("term").agg(F.min("role") == 1).collect()}
         # Row numbers are written with the postings, so that they hold for all that follows.
         stored = postings(docs, rare, text, size)
         stored = cut(stored if blocks > 1 else stored.withColumn("row", F.monotonically_increasing_id()))
@@ -179,7 +180,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "item_id", text: st
     hits, near = cut(hits), cut(near)
 
     def ids(found: DataFrame, name: str) -> DataFrame:
-        pairs = found.select("row", "window").distinct().join(owned.select("window", "item"), "window").select("row", "item").distinct()
+        pairs = found.select("row", "window").distinct().join(owned.select(F.xxhash64("window").alias("window"), "item"), "window").select("row", "item").distinct()
         return pairs.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias(name))
 
     joined = rows.join(_covered(hits), "row", "left").join(ids(hits, "item_ids"), "row", "left").join(ids(near, "near_ids"), "row", "left")

@@ -68,7 +68,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, (F.col("n_hit") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids, (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").alias("n_near"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
