@@ -124,7 +124,8 @@ def _hits(listed: DataFrame, anchors: DataFrame) -> DataFrame:
     # Where the second term's list, shifted by its place in the window, must meet this posting.
     other = F.get("around", F.col("start") - F.col("first") + F.col("at2"))
     met = met.filter(F.col("term2").isNull() | (other == F.col("term2")))
-    inside = F.slice("around", F.col("start") - F.col("first") + 1, F.size("words"))
+    # Filters may be tried in any order: slice takes no place below 1.
+    inside = F.slice("around", F.greatest(F.lit(1), F.col("start") - F.col("first") + 1), F.size("words"))
     return met.filter(inside == F.col("words")).select("row", "window", "start", F.size("words").alias("size"))
 
 
