@@ -6,7 +6,7 @@ of documents. Between stages the result is written as Parquet and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notevalue.llm import decontaminate, packing, secrets, simhash, toxicity
@@ -27,8 +27,10 @@ def _known(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.3 or more go. The model is fitted on the labelled documents among `docs`."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    refused = toxicity.score(_known(docs), model).filter(F.col("score") >= TOXIC_AT).select("doc_id", "body").distinct()
-    return _without(docs, cut(refused))
+    # The text goes through the scorer beside the copy it reads, so that nothing is shuffled.
+    scored = toxicity.score(docs.withColumn("_kept", F.col("text")), model)
+    kept = scored.filter(F.col("score") < TOXIC_AT)
+    return kept.select(*[F.col("_kept").alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +38,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of several rows with that id one stays; a group of null ids only keeps one of its rows.
     """
-    grouped = simhash.near_duplicates(_known(docs).select(F.struct("doc_id", "body").alias("row"), "text"), key="row")
-    first = cut(grouped.filter(F.col("row") == F.col("component_id")).select("row.doc_id", "row.body").distinct())
-    kept = docs.join(first.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_body")))
-    # Repeated rows share id and text.
-    once = Window.partitionBy("_id", "_body").orderBy(*[c for c in docs.columns if c != "text"])
-    return kept.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(*docs.columns)
+    # Numbers tell repeated rows apart; both reads of the stage's table deal them alike.
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("row")
+    grouped = simhash.near_duplicates(numbered.select(row, "text"), key="row")
+    first = cut(grouped.filter(F.col("row") == F.col("component_id")).select("row._row"))
+    # Neither side is bounded, so the join shuffles whatever the size at hand.
+    return numbered.join(first.hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
