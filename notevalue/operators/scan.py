@@ -164,13 +164,13 @@ def unseen(found: DataFrame, seen: DataFrame) -> DataFrame:
     return found.withColumn("key", listing_key()).join(seen.select("key"), "key", "left_anti")
 
 
-def opportunities(found: DataFrame, pricer: Predictor) -> DataFrame:
+def opportunities(found: DataFrame, estimator: Predictor) -> DataFrame:
     """Listings with `estimate` and `discount`, the largest gap first.
 
-    `pricer` adds `guess` to rows that have the note as `description`; it sees nothing else that a
+    `estimator` adds `guess` to rows that have the note as `description`; it sees nothing else that a
     caller with bare prose would not have.
     """
-    priced = pricer(found.withColumn("description", F.col("note"))).withColumnRenamed("guess", "estimate").drop("description")
+    priced = estimator(found.withColumn("description", F.col("note"))).withColumnRenamed("guess", "estimate").drop("description")
     return priced.withColumn("discount", F.col("estimate") - F.col("price")).orderBy(F.desc("discount"), "key", "price")
 
 
@@ -194,14 +194,14 @@ def scan(articles: DataFrame, reader: Reader, k: int = 3) -> DataFrame:
     return listings(answers)[0]
 
 
-def plan(spark: SparkSession, found: DataFrame, pricer: Predictor, seen_path: str, out_path: str, run: int) -> DataFrame:
+def plan(spark: SparkSession, found: DataFrame, estimator: Predictor, seen_path: str, out_path: str, run: int) -> DataFrame:
     """One run: judge the unseen listings, store the opportunities, remember their keys.
 
     Both tables get one directory per run and the run ignores its own, so repeating it after a crash
     changes nothing.
     """
     fresh = unseen(in_range(found), load_seen(spark, seen_path, before=run))
-    opportunities(fresh, pricer).write.mode("overwrite").parquet(f"{out_path}/run={run}")
+    opportunities(fresh, estimator).write.mode("overwrite").parquet(f"{out_path}/run={run}")
     stored = spark.read.parquet(f"{out_path}/run={run}")
     write_seen(stored, seen_path, run)
     return stored.orderBy(F.desc("discount"), "key", "price")

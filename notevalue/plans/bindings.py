@@ -10,14 +10,15 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from notevalue.functions import fixed
 from notevalue.operators import curate
 from notevalue.session import cut
 from notevalue.sources.raw import load_raw
 
-# Split shares and cap for the curated chain over the given tables.
+# Split shares for the curated chain over the given tables; the cap is the default one.
 VAL_SHARE = 0.1
 TEST_SHARE = 0.1
-CAP = 500
+CAP = fixed.CAP
 
 # Neither side of this join is bounded, so it is asked to shuffle whatever the size at hand.
 REVIEWS = """

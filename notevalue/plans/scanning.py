@@ -27,7 +27,7 @@ FROM {pages}
 """
 
 
-def _pricer(rows: DataFrame) -> DataFrame:
+def _estimator(rows: DataFrame) -> DataFrame:
     """A stand-in estimate from the note alone."""
     return rows.withColumn("guess", F.length("description") % 200 + F.lit(0.5))
 
@@ -119,11 +119,11 @@ def s6_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def l7_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = scan.unseen(scan.in_range(_listings(spark, sf_dir)), _seen(spark, sf_dir))
-    return scan.opportunities(fresh, _pricer).select("key", "price", "estimate", F.round("discount", 6).alias("discount"))
+    return scan.opportunities(fresh, _estimator).select("key", "price", "estimate", F.round("discount", 6).alias("discount"))
 
 
 def l8_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan.opportunities(scan.unseen(_listings(spark, sf_dir), _seen(spark, sf_dir)), _pricer)
+    found = scan.opportunities(scan.unseen(_listings(spark, sf_dir), _seen(spark, sf_dir)), _estimator)
     return scan.alerts(found).select("key", "summary")
 
 
@@ -132,7 +132,7 @@ def l9_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen, out = work_path(spark, "plan-seen"), work_path(spark, "plan-out")
     found = cut(scan.listings(_answers(spark, sf_dir))[0])
     for run in (1, 1, 2):
-        scan.plan(spark, found, _pricer, seen, out, run)
+        scan.plan(spark, found, _estimator, seen, out, run)
     # Runs that reported nothing show with a count of 0.
     runs = spark.createDataFrame([(1,), (2,)], "run bigint")
     stored = spark.read.parquet(out).select(F.col("run").cast("bigint").alias("run"), "discount")
@@ -160,7 +160,7 @@ def t1_stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in ("id % 2 = 0", "id % 3 = 0", "true"):
         rows.filter(part).select("name", "note", "price", "url").coalesce(1).write.mode("append").json(source)
     stream = spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1).json(source)
-    stream_plan(stream, _pricer, seen, out, work_path(spark, "stream-checkpoint")).awaitTermination()
+    stream_plan(stream, _estimator, seen, out, work_path(spark, "stream-checkpoint")).awaitTermination()
     stored = spark.read.parquet(out)
     return stored.select("key", "price", "estimate", F.round("discount", 6).alias("discount"))
 

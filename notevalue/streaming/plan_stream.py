@@ -12,7 +12,7 @@ LISTING_SCHEMA = "name string, note string, price double, url string"
 
 
 def stream_plan(
-    listings: DataFrame, pricer: Predictor, seen_path: str, out_path: str, checkpoint: str, once: bool = True
+    listings: DataFrame, estimator: Predictor, seen_path: str, out_path: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
     """Runs the plan on every micro-batch of new listings.
 
@@ -21,7 +21,7 @@ def stream_plan(
     """
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        plan(batch.sparkSession, batch, pricer, seen_path, out_path, batch_id)
+        plan(batch.sparkSession, batch, estimator, seen_path, out_path, batch_id)
 
     writer = listings.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

@@ -14,13 +14,13 @@ from rows import NOTE, priced, raw
 
 def test_a_good_row_is_parsed(spark):
     row = curate.parse_reviews(raw(spark, {})).first()
-    assert (row["price"], row["points"], row["region"], row["taster"], row["vintage"]) == (42.0, 91, "Loncomilla", "A. Taster", 2016)
-    assert row["full"].startswith("Vintage: 2016\nVariety: Syrah\nCountry: Chile\nProvince: Maule\nRegion: Loncomilla\nTasting note: Red plum")
+    assert (row["price"], row["points"], row["region"], row["taster"], row["vintage"]) == (27.5, 88, "Loncomilla", "A. Taster", 2011)
+    assert row["full"].startswith("Vintage: 2011\nVariety: Syrah\nCountry: Chile\nProvince: Maule\nRegion: Loncomilla\nTasting note: Red plum")
 
 
 def test_score_winery_and_price_stay_out_of_the_text(spark):
     full = curate.parse_reviews(raw(spark, {})).first()["full"]
-    assert "91" not in full and "Piedra" not in full and "42" not in full
+    assert "88" not in full and "Piedra" not in full and "27" not in full
 
 
 def test_unusable_rows_are_rejected_with_a_reason(spark):
@@ -64,7 +64,7 @@ def test_region_falls_back_to_the_province(spark):
 def test_dedupe_keeps_the_first_of_equal_notes(spark):
     rows = raw(spark, {"price": 99.0, "ordinal": 5}, {"price": 10.0, "ordinal": 2}, {"description": NOTE + " More.", "ordinal": 9})
     kept = curate.deduplicate(curate.parse_reviews(rows))
-    assert sorted((r["ordinal"], r["price"]) for r in kept.collect()) == [(2, 10.0), (9, 42.0)]
+    assert sorted((r["ordinal"], r["price"]) for r in kept.collect()) == [(2, 10.0), (9, 27.5)]
 
 
 def test_dedupe_limits_groups_before_the_shuffle(spark):
@@ -93,13 +93,13 @@ def test_histogram_shows_empty_bins(spark):
 
 
 def test_balance_flattens_and_keeps_the_tail(spark):
-    kept = curate.balance(priced(spark, [8] * 500 + [300] * 20), cap=20)
-    assert {r["price"]: r["count"] for r in kept.groupBy("price").count().collect()} == {8.0: 20, 300.0: 20}
+    kept = curate.balance(priced(spark, [6] * 90 + [45] * 31 + [410] * 7), cap=30)
+    assert {r["price"]: r["count"] for r in kept.groupBy("price").count().collect()} == {6.0: 30, 45.0: 30, 410.0: 7}
 
 
 def test_balance_is_deterministic_and_independent_of_partitioning(spark):
-    rows = priced(spark, [5 + i for i in range(200)])
-    ids = lambda df: sorted(r["id"] for r in curate.balance(df, cap=5).select("id").collect())
+    rows = priced(spark, [4 + (i * i) % 487 for i in range(130)])
+    ids = lambda df: sorted(r["id"] for r in curate.balance(df, cap=8).select("id").collect())
     assert ids(rows) == ids(rows.repartition(7))
 
 
@@ -112,20 +112,20 @@ def test_balance_never_shuffles_whole_rows(spark):
 
 
 def test_holdout_sizes_ids_and_stability(spark):
-    rows = priced(spark, [5 + i for i in range(100)]).drop("id")
-    placed = curate.holdout(rows, 10, 10)
-    assert {r["split"]: r["count"] for r in placed.groupBy("split").count().collect()} == {"train": 80, "validation": 10, "test": 10}
-    assert sorted(r["id"] for r in placed.collect()) == list(range(100))
-    assert min(r["id"] for r in placed.filter("split = 'test'").collect()) == 90
-    test = lambda df: sorted(r["ordinal"] for r in curate.holdout(df, 10, 10).filter("split = 'test'").collect())
+    rows = priced(spark, [7 + 3 * i for i in range(64)]).drop("id")
+    placed = curate.holdout(rows, 6, 9)
+    assert {r["split"]: r["count"] for r in placed.groupBy("split").count().collect()} == {"train": 49, "validation": 6, "test": 9}
+    assert sorted(r["id"] for r in placed.collect()) == list(range(64))
+    assert min(r["id"] for r in placed.filter("split = 'test'").collect()) == 55
+    test = lambda df: sorted(r["ordinal"] for r in curate.holdout(df, 6, 9).filter("split = 'test'").collect())
     assert test(rows) == test(rows.repartition(5))
 
 
 def test_the_cap_changes_training_only(spark):
-    rows = priced(spark, [5 + i % 400 for i in range(1000)]).drop("id")
-    placed = curate.holdout(rows, 10, 10)
+    rows = priced(spark, [4 + (7 * i) % 300 for i in range(420)]).drop("id")
+    placed = curate.holdout(rows, 12, 15)
     pool, test = placed.filter("split = 'train'"), {r["id"] for r in placed.filter("split = 'test'").collect()}
-    wide, strict = curate.balance(pool, 100), curate.balance(pool, 10)
+    wide, strict = curate.balance(pool, 60), curate.balance(pool, 4)
     assert strict.count() < wide.count()
     assert test.isdisjoint(r["id"] for r in wide.collect())
 
@@ -180,7 +180,7 @@ def test_running_totals_and_first_rows(spark):
 def test_facets_count_missing_as_unknown(spark):
     rows = curate.parse_reviews(raw(spark, {"country": None}, {"country": ""}, {"price": 10.0}))
     got = {r["value"]: (r["n"], r["median_price"]) for r in curate.facet_profile(rows, ["country"]).collect()}
-    assert got == {"unknown": (2, 42.0), "Chile": (1, 10.0)}
+    assert got == {"unknown": (2, 27.5), "Chile": (1, 10.0)}
 
 
 def test_duplicates_are_reported_most_copied_first(spark):

@@ -11,8 +11,8 @@ CHEAP, DEAR = "Simple juicy easy everyday pour number {i}. ", "Profound layered
 
 
 def cellar(spark, n=30):
-    rows = [(i, CHEAP.format(i=i) + NOTE, 6.0, "Merlot") for i in range(n)]
-    rows += [(n + i, DEAR.format(i=i) + NOTE, 300.0, "Nebbiolo") for i in range(n)]
+    rows = [(i, CHEAP.format(i=i) + NOTE, 8.5, "Merlot") for i in range(n)]
+    rows += [(n + i, DEAR.format(i=i) + NOTE, 220.0, "Nebbiolo") for i in range(n)]
     frame = spark.createDataFrame(rows, "id bigint, description string, price double, variety string")
     return frame.withColumns({"country": F.lit("Italy"), "province": F.lit(None).cast("string"), "vintage": F.lit(None).cast("bigint")})
 
@@ -22,8 +22,8 @@ def guesses(model, df):
 
 
 def test_the_constant_is_the_geometric_mean(spark):
-    model = regress.fit_constant(priced(spark, [10, 90, 30]))
-    assert model.value == pytest.approx(np.expm1(np.log1p([10, 90, 30]).mean()))
+    model = regress.fit_constant(priced(spark, [12, 75, 260, 33]))
+    assert model.value == pytest.approx(np.expm1(np.log1p([12, 75, 260, 33]).mean()))
 
 
 def test_rare_categories_share_a_slot_and_unseen_ones_get_none(spark):
@@ -170,12 +170,12 @@ def test_context_lists_neighbours_in_rank_order(spark, tmp_path):
     found = retrieve.knn(asked, stored, 2)
     row = retrieve.rag_context(found, stored, asked).first()
     head, first, second = row["context"].split("\n\n")[0], row["context"].index("Profound"), row["context"].index("Simple")
-    assert head.startswith("Here are tasting notes") and first < second and "Price is $300.00\n" in row["context"]
-    assert row["question"].endswith("What now?\n\nPrice is $") and (row["low"], row["high"]) == (6.0, 300.0)
+    assert head.startswith("Here are tasting notes") and first < second and "Price is $220.00\n" in row["context"]
+    assert row["question"].endswith("What now?\n\nPrice is $") and (row["low"], row["high"]) == (8.5, 220.0)
     price = retrieve.neighbour_price(found, stored).first()["guess"]
-    assert price == pytest.approx(np.expm1(np.log1p([300, 6]).mean()))
+    assert price == pytest.approx(np.expm1(np.log1p([220, 8.5]).mean()))
     shown = retrieve.comparables(found, stored).orderBy("rank").first()
-    assert shown["price"] == "$300" and shown["comparable"].endswith("...")
+    assert shown["price"] == "$220" and shown["comparable"].endswith("...")
     with pytest.raises(FileNotFoundError, match="no vector table"):
         load_vector_table(spark, str(tmp_path / "none"))
 
@@ -187,28 +187,28 @@ def test_the_audit_finds_test_notes_in_the_corpus(spark):
 
 
 def blend_input(spark):
-    truths = spark.createDataFrame([(i, float(p), "validation") for i, p in enumerate((10, 20, 40, 80, 160))], "id bigint, price double, split string")
-    members = {"truthful": lambda df: df.withColumn("guess", F.lit(40.0)), "liar": lambda df: df.withColumn("guess", F.lit(400.0))}
+    truths = spark.createDataFrame([(i, float(p), "validation") for i, p in enumerate((15, 22, 36, 95, 130, 71))], "id bigint, price double, split string")
+    members = {"near": lambda df: df.withColumn("guess", F.lit(55.0)), "far": lambda df: df.withColumn("guess", F.lit(310.0))}
     return truths, blend.blend_features(blend.estimates(truths, members), list(members))
 
 
 def test_a_blend_of_constants_stays_inside_the_data(spark, tmp_path):
     truths, rows = blend_input(spark)
-    fitted = blend.Blend(("truthful", "liar")).fit(rows, truths)
+    fitted = blend.Blend(("near", "far")).fit(rows, truths)
     fitted.save(str(tmp_path / "b"))
-    for model in (fitted, blend.Blend(("truthful", "liar")).load(str(tmp_path / "b"))):
-        assert all(10 <= r["guess"] <= 160 for r in model.predict(rows).collect())
+    for model in (fitted, blend.Blend(("near", "far")).load(str(tmp_path / "b"))):
+        assert all(15 <= r["guess"] <= 130 for r in model.predict(rows).collect())
 
 
 def test_an_unfitted_blend_refuses_and_training_rows_are_refused(spark):
     truths, rows = blend_input(spark)
     with pytest.raises(ValueError, match="not fitted"):
-        blend.Blend(("truthful", "liar")).predict(rows)
+        blend.Blend(("near", "far")).predict(rows)
     with pytest.raises(ValueError, match="training rows"):
-        blend.Blend(("truthful", "liar")).fit(rows, truths.withColumn("split", F.lit("train")))
+        blend.Blend(("near", "far")).fit(rows, truths.withColumn("split", F.lit("train")))
 
 
 def test_blend_features_hold_lowest_and_highest(spark):
     _, rows = blend_input(spark)
     row = rows.first()
-    assert (row["lowest"], row["highest"]) == (pytest.approx(np.log1p(40)), pytest.approx(np.log1p(400)))
+    assert (row["lowest"], row["highest"]) == (pytest.approx(np.log1p(55)), pytest.approx(np.log1p(310)))

@@ -144,19 +144,19 @@ def found(spark, *rows):
     return spark.createDataFrame([(name, NOTE, float(price), "u") for name, price in rows], LISTING_SCHEMA)
 
 
-def pricer(df):
+def estimator(df):
     return df.withColumn("guess", F.lit(45.0))
 
 
 def test_out_of_range_listings_are_dropped_and_counted(spark):
-    rows = found(spark, ("fine", 40), ("lot", 22_500), ("box", 2))
+    rows = found(spark, ("fine", 61), ("pallet", 7_350), ("cork", 3.5), ("jar", 0.4))
     assert [r["name"] for r in scan.in_range(rows).collect()] == ["fine"]
-    assert scan.range_summary(rows).first()[:] == (1, 2)
+    assert scan.range_summary(rows).first()[:] == (1, 3)
 
 
 def test_discounts_rank_and_alert(spark):
     fresh = scan.unseen(found(spark, ("a", 30), ("b", 44.5), ("c", 60)), spark.createDataFrame([], "key string"))
-    ranked = scan.opportunities(fresh, pricer)
+    ranked = scan.opportunities(fresh, estimator)
     assert [(r["name"], r["discount"]) for r in ranked.collect()] == [("a", 15.0), ("b", 0.5), ("c", -15.0)]
     assert [r["summary"] for r in scan.alerts(ranked).collect()] == ["a: listed $30, we estimate $45 (gap $+15)\nu"]
     texts = {r["name"]: r["summary"] for r in scan.alerts(ranked, -100).collect()}
@@ -166,9 +166,9 @@ def test_discounts_rank_and_alert(spark):
 def test_a_second_run_reports_nothing(spark, tmp_path):
     seen, out = str(tmp_path / "seen"), str(tmp_path / "out")
     rows = found(spark, ("a", 30), ("b", 40), ("b", 41), ("lot", 9000))
-    assert scan.plan(spark, rows, pricer, seen, out, 1).count() == 3
-    assert scan.plan(spark, rows, pricer, seen, out, 1).count() == 3
-    assert scan.plan(spark, rows, pricer, seen, out, 2).count() == 0
+    assert scan.plan(spark, rows, estimator, seen, out, 1).count() == 3
+    assert scan.plan(spark, rows, estimator, seen, out, 1).count() == 3
+    assert scan.plan(spark, rows, estimator, seen, out, 2).count() == 0
     assert sorted(r["key"] for r in load_seen(spark, seen).collect()) == ["u#a", "u#b"]
 
 
@@ -190,15 +190,15 @@ def test_the_stream_reports_what_the_batch_reports_and_survives_a_crash(spark, t
     def breaks_after_writing(df):
         if not failed:
             failed.append(1)
-            scan.plan(spark, found(spark, ("a", 30), ("b", 40)), pricer, seen, out, 0)
+            scan.plan(spark, found(spark, ("a", 30), ("b", 40)), estimator, seen, out, 0)
             raise RuntimeError("lost")
-        return pricer(df)
+        return estimator(df)
 
     with pytest.raises(Exception, match="lost"):
         stream_plan(stream(), breaks_after_writing, seen, out, checkpoint).awaitTermination()
     found(spark, ("b", 40), ("c", 50), ("lot", 9000)).coalesce(1).write.mode("append").json(source)
     stream_plan(stream(), breaks_after_writing, seen, out, checkpoint).awaitTermination()
-    stream_plan(stream(), pricer, seen, out, checkpoint).awaitTermination()
+    stream_plan(stream(), estimator, seen, out, checkpoint).awaitTermination()
     assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 

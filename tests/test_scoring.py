@@ -23,11 +23,11 @@ def test_prompts_differ_only_by_the_answer(spark):
     rows = parsed(spark)
     training = prompts.build_prompts(rows).first()["prompt"]
     question = prompts.build_prompts(rows, "inference").first()["prompt"]
-    assert fixed.QUESTION in training and training == question + "42.00" and question.endswith(fixed.PREFIX)
+    assert fixed.QUESTION in training and training == question + "28.00" and question.endswith(fixed.PREFIX)
     assert prompts.inference_prompts(prompts.build_prompts(rows)).first()["question"] == question
 
 
-@pytest.mark.parametrize(("price", "answer"), [(42.5, "42.00"), (43.5, "44.00"), (9.4999, "9.00")])
+@pytest.mark.parametrize(("price", "answer"), [(42.5, "28.00"), (43.5, "44.00"), (9.4999, "9.00")])
 def test_answers_round_half_to_even(spark, price, answer):
     assert prompts.build_prompts(parsed(spark, {"price": price})).first()["prompt"].endswith("$" + answer)
 
@@ -43,7 +43,7 @@ def test_a_missing_summary_is_an_error_or_left_out(spark):
 def test_completions_split_at_the_only_prefix(spark):
     good, bad = prompts.completion_pairs(prompts.build_prompts(parsed(spark)))
     row = good.first()
-    assert row["completion"] == "42.00" and row["prompt"].endswith(fixed.PREFIX) and bad.count() == 0
+    assert row["completion"] == "28.00" and row["prompt"].endswith(fixed.PREFIX) and bad.count() == 0
     twice = prompts.build_prompts(parsed(spark).withColumn("full", F.lit("says Price is $3")))
     good, bad = prompts.completion_pairs(twice)
     assert good.count() == 0 and bad.first()["occurrences"] == 2
@@ -69,8 +69,8 @@ def test_the_length_gate_stops_training(spark):
 
 
 def test_perfect_predictions_score_perfectly(spark):
-    row = evaluate.score(predictions(spark, [(10, 10), (50, 50), (300, 300)])).first()
-    assert (row["mae"], row["rmsle"], row["r2"], row["hit_rate"], row["size"]) == (0, 0, pytest.approx(1), 1, 3)
+    row = evaluate.score(predictions(spark, [(7, 7), (18.5, 18.5), (96, 96), (441, 441)])).first()
+    assert (row["mae"], row["rmsle"], row["r2"], row["hit_rate"], row["size"]) == (0, 0, pytest.approx(1), 1, 4)
 
 
 def test_scores_match_numpy(spark):
@@ -84,20 +84,20 @@ def test_scores_match_numpy(spark):
 
 
 def test_negative_guesses_and_constant_truths_stay_finite(spark):
-    row = evaluate.score(predictions(spark, [(-5, 20)])).first()
+    row = evaluate.score(predictions(spark, [(-31, 64)])).first()
     assert np.isfinite(row["rmsle"]) and row["r2"] == 0.0
 
 
 def test_hits_are_ten_dollars_or_twenty_percent(spark):
-    rows = predictions(spark, [(14, 5), (230, 200), (400, 200)])
-    assert evaluate.score(rows).first()["hit_rate"] == pytest.approx(2 / 3)
-    assert {r["band"]: r["n"] for r in evaluate.error_bands(rows).collect()} == {"green": 2, "red": 1}
+    rows = predictions(spark, [(33, 24), (101, 120), (150, 121), (61, 90)])
+    assert evaluate.score(rows).first()["hit_rate"] == pytest.approx(2 / 4)
+    assert {r["band"]: r["n"] for r in evaluate.error_bands(rows).collect()} == {"green": 2, "orange": 2}
 
 
 @pytest.mark.parametrize(
     ("reply", "first", "last", "unstripped", "clamped"),
     [
-        ("$42.00", 42, 42, 42, 42), ("about 42 dollars or 7", 42, 7, 42, 42), ("$1,234.50", 1234.5, 1234.5, 1, 1000),
+        ("$28.00", 42, 42, 42, 42), ("about 42 dollars or 7", 42, 7, 42, 42), ("$1,234.50", 1234.5, 1234.5, 1, 1000),
         ("none", 0, 0, 0, 0), ("-5", 5, 5, 5, 0), ("-5.5", -5.5, -5.5, -5.5, 0), ("Price is $9. Price is $30", 9, 30, 30, 9),
         (".5", 0.5, 0.5, 0.5, 5),
     ],
