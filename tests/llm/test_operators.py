@@ -143,9 +143,11 @@ def test_trigram_queries():
 def test_toxicity(spark, small):
     rows = queries.op6_toxicity(spark, small).collect()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
-    labelled = spark.createDataFrame([(int(i % 5 == 0), f"plain words number {i} " + "vile slur here " * (i % 5 == 0)) for i in range(3000)], "toxic int, text string")
+    rng = random.Random(1)
+    plain = lambda: " ".join("".join(rng.choices("abcdefghij", k=3)) for _ in range(60))
+    labelled = spark.createDataFrame([(int(i % 5 == 0), plain() + " vile slur here" * (i % 5 == 0)) for i in range(3000)], "toxic int, text string")
     model = toxicity.fit(labelled)
-    tested = spark.createDataFrame([(1, "plain words number 7 vile slur here"), (2, "plain words number 8"), (3, None), (4, "")], "doc_id int, text string")
+    tested = spark.createDataFrame([(1, plain() + " vile slur here"), (2, plain()), (3, None), (4, "")], "doc_id int, text string")
     score = {r["doc_id"]: r["score"] for r in toxicity.score(tested, model).collect()}
     assert score[1] > 0.5 > 0.3 > score[2] and score[3] == score[4]
     assert toxicity.fit(labelled.limit(0)).segments.scores == {}
