@@ -10,6 +10,10 @@ from notevalue.session import cut, work_path
 
 TOXIC_AT = 0.3
 GOOD_AT = 0.5
+# Labelled documents that a model is fitted on, at most about so many.
+LABELLED = 50_000
+# Grain of the share of labelled ids that is picked.
+PARTS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +25,16 @@ def remainder(key: str, of: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(of)), F.lit(0))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Rows of `docs` with a label; a document labelled more than once has its largest label."""
-    return docs.join(labels.filter(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label)), "doc_id")
+def labelled(docs: DataFrame, labels: DataFrame, label: str, bound: int = LABELLED) -> DataFrame:
+    """Rows of `docs` with a label; a document labelled more than once has its largest label.
+
+    Of more than `bound` labelled ids, about `bound` are used, picked by a hash of the id. So the ids
+    can travel to the documents, and the texts are not shuffled.
+    """
+    known = cut(labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias(label)))
+    share = bound / max(known.count(), bound)
+    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)) < F.lit(int(share * PARTS)))
+    return docs.join(F.broadcast(picked), "doc_id")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +63,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
-    """The production model: fitted on all labelled documents outside the held-out quarter."""
-    rows = labelled(docs.select("doc_id", "text").filter(remainder("doc_id", 4) != 2), labels, "toxic")
+    """The production model: fitted on labelled documents outside the held-out quarter."""
+    rows = labelled(docs.select("doc_id", "text"), labels.filter(remainder("doc_id", 4) != 2), "toxic")
     return toxicity.fit(cut(rows.select("toxic", "text")))
 
 
@@ -73,7 +84,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = cut(quality_model.with_statistics(table(spark, sf_dir, "documents")))
-    train = labelled(described.filter(remainder("doc_id", 3) != 1), table(spark, sf_dir, "labels"), "quality")
+    train = labelled(described, table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1), "quality")
     scored = quality_model.score(described, quality_model.fit(train))
     held = remainder("doc_id", 3) == 1
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= GOOD_AT).cast("int").alias("predicted"))
