@@ -16,6 +16,28 @@ from notevalue.session import cut
 Scorer = Callable[[pd.Series, int], pd.Series]
 
 
+class AllowanceSpent(Exception):
+    """Raised by a scorer that may answer no more for now; rows already answered are kept."""
+
+
+def _replies(scorer: Scorer, notes: pd.Series, attempt: int) -> list[str | None]:
+    """One reply per note. A batch that fails is asked row by row; rows that fail again have none."""
+    try:
+        return list(scorer(notes, attempt))
+    except AllowanceSpent:
+        raise
+    except Exception:
+        found: list[str | None] = []
+        for i in range(len(notes)):
+            try:
+                found.append(scorer(notes.iloc[i : i + 1], attempt).iloc[0])
+            except AllowanceSpent:
+                raise
+            except Exception:
+                found.append(None)
+        return found
+
+
 def pending(df: DataFrame, cache: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows without a cached reading, the first `limit` of them by id."""
     todo = df.join(cache.select("id"), "id", "left_anti")
@@ -39,23 +61,32 @@ def enrich(todo: DataFrame, scorer: Scorer, attempts: int = fixed.ATTEMPTS, work
     """`(id, tasting)` of answered rows, and the ids that stay pending after `attempts` tries.
 
     Every try is written to reliable storage, so a lost executor repeats its own rows only and no
-    answered row is scored twice. `workers` bounds how many batches are scored at once.
+    answered row is scored twice. `workers` bounds how many batches are scored at once. Rows whose
+    scorer raises stay pending. `AllowanceSpent` ends a task's pass at its batch and starts no other try.
     """
     rows = todo.select("id", "description")
     done: DataFrame | None = None
     for attempt in range(1, attempts + 1):
 
         def ask(batches: Iterator[pd.DataFrame], attempt: int = attempt) -> Iterator[pd.DataFrame]:
+            spent = False
             for batch in batches:
-                if len(batch):
-                    yield batch.assign(reply=scorer(batch["description"], attempt))
+                reply: list[str | None] = [None] * len(batch)
+                if len(batch) and not spent:
+                    try:
+                        reply = _replies(scorer, batch["description"], attempt)
+                    except AllowanceSpent:
+                        spent = True
+                yield batch.assign(reply=pd.Series(reply, index=batch.index, dtype="object"), spent=spent)
 
         spread = rows.repartition(workers, "id") if workers else rows
-        answered = cut(with_reading(spread.mapInPandas(ask, "id bigint, description string, reply string")).drop("reply"))
+        asked = with_reading(spread.mapInPandas(ask, "id bigint, description string, reply string, spent boolean")).drop("reply")
+        # Only a note that is asked about again is written again.
+        answered = cut(asked.withColumn("description", F.when(F.col("tasting").isNull(), F.col("description"))))
         good = answered.filter(F.col("tasting").isNotNull()).select("id", "tasting")
         done = good if done is None else done.unionByName(good)
         rows = answered.filter(F.col("tasting").isNull()).select("id", "description")
-        if rows.isEmpty():
+        if rows.isEmpty() or not answered.filter("spent").isEmpty():
             break
     return done, rows.select("id")
 

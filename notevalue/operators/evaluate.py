@@ -69,7 +69,8 @@ def score_slice(predictions: DataFrame) -> DataFrame:
     squared = F.pow(_log_error(), F.lit(2))
     expensive = F.col("_label") >= F.col("_middle")
     return (
-        logged.join(middle, "model")
+        # One row per model: the predictions stay where they are.
+        logged.join(F.broadcast(middle), "model")
         .groupBy("model")
         .agg(
             F.sqrt(F.avg(squared)).alias("rmsle"),

@@ -1,7 +1,7 @@
 """Exact interpolated quantiles whose cost per task stays bounded.
 
-The built-in exact percentile keeps every distinct value of a group in one buffer. Here values are
-first counted in narrow ranges, the ranges holding the wanted ranks are found from those counts, and
+The built-in exact percentile keeps every distinct value of a group in one buffer. Here equal values
+are first counted on the map side, so that a popular one is no hot key. The counts are added up in narrow ranges, the ranges holding the wanted ranks are found from those counts, and
 only the rows of these few ranges are put in order.
 """
 
@@ -31,9 +31,11 @@ def exact_quantiles(df: DataFrame, value: Column, shares: Mapping[str, float], g
     narrow = narrow.withColumn("_range", _range_of(F.col("_value")))
     upto = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
+    # Equal values are one row from here on; both uses read the same shuffled table.
+    per_value = narrow.groupBy(*groups, "_range", "_value").agg(F.count("*").alias("_copies"))
     counts = (
-        narrow.groupBy(*groups, "_range")
-        .agg(F.count("*").alias("_rows"))
+        per_value.groupBy(*groups, "_range")
+        .agg(F.sum("_copies").alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(upto), F.lit(0)))
         .withColumn("_total", F.sum("_rows").over(whole))
     )
@@ -50,12 +52,8 @@ def exact_quantiles(df: DataFrame, value: Column, shares: Mapping[str, float], g
     )
     keys = [*groups, "_range"]
     ahead = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = (
-        narrow.join(targets.select(*keys).distinct(), keys, "left_semi")
-        .groupBy(*keys, "_value")
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_ahead", F.coalesce(F.sum("_copies").over(ahead), F.lit(0)))
-    )
+    wide = per_value.join(targets.select(*keys).distinct(), keys, "left_semi")
+    ordered = wide.withColumn("_ahead", F.coalesce(F.sum("_copies").over(ahead), F.lit(0)))
     first = F.col("_before") + F.col("_ahead")
     found = ordered.join(targets, keys).filter((first <= F.col("_rank")) & (F.col("_rank") < first + F.col("_copies")))
     picks = []

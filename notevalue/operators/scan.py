@@ -74,11 +74,11 @@ def _read_page(html: str | None) -> str:
     return " ".join("".join(page.pieces).split())
 
 
-def page_text(pages: DataFrame, column: str = "html", out: str = "body", method: str = "pattern") -> DataFrame:
+def page_text(pages: DataFrame, column: str = "html", out: str = "body", method: str = "parser") -> DataFrame:
     """Adds the readable text of a page.
 
-    `pattern` runs in the JVM; `parser` also follows nesting, unclosed elements and every entity,
-    in Arrow batches.
+    `parser` follows nesting, unclosed elements and every entity, in Arrow batches; `pattern` stays in
+    the JVM and is for pages known to have none of these.
     """
     if method == "pattern":
         return pages.withColumn(out, readable(F.col(column)))

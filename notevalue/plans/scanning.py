@@ -37,7 +37,7 @@ def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def l1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.page_text(table(spark, sf_dir, "pages")).select("page_id", "body")
+    return scan.page_text(table(spark, sf_dir, "pages"), method="pattern").select("page_id", "body")
 
 
 def l1_page_text_parser(spark: SparkSession, sf_dir: str) -> DataFrame:

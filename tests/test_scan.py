@@ -108,15 +108,15 @@ PAGE = (
 
 def test_page_text_drops_what_is_not_prose(spark):
     rows = spark.createDataFrame([(PAGE,), (None,), ("",)], "html string")
-    pattern = [r["body"] for r in scan.page_text(rows).collect()]
-    parser = [r["body"] for r in scan.page_text(rows, method="parser").collect()]
+    pattern = [r["body"] for r in scan.page_text(rows, method="pattern").collect()]
+    parser = [r["body"] for r in scan.page_text(rows).collect()]
     assert parser == ["T & U One two café x", "", ""]
     assert pattern == ["T & U One two caf&eacute; x", "", ""]
 
 
 def test_the_parser_follows_nesting(spark):
     rows = spark.createDataFrame([("<div>a<nav>x<div>y</div><nav>z</nav>w</nav>b<form>c</div>d",)], "html string")
-    assert scan.page_text(rows, method="parser").first()["body"] == "a b d"
+    assert scan.page_text(rows).first()["body"] == "a b d"
 
 
 def test_articles_are_capped_and_taken_newest_first(spark):
@@ -213,3 +213,17 @@ def test_streamed_enrichment_matches_the_batch(spark, tmp_path):
     done, _ = enrich.enrich(rows, scorer)
     assert got == {r["id"]: r["tasting"]["summary"] for r in done.collect()}
     assert spark.read.text(cache).count() == len(got)
+
+
+def test_a_scorer_that_raises_leaves_its_rows_pending(spark):
+    def scorer(notes, attempt):
+        if notes.str.contains("spent").any():
+            raise enrich.AllowanceSpent
+        if notes.str.contains("broken").any():
+            raise RuntimeError("no answer")
+        return pd.Series(["not json"] * len(notes), index=notes.index)
+
+    for word in ("broken", "spent"):
+        rows = spark.createDataFrame([(i, word if i == 3 else "plain") for i in range(6)], "id bigint, description string")
+        done, failed = enrich.enrich(rows, scorer, attempts=2)
+        assert done.count() == 0 and sorted(r["id"] for r in failed.collect()) == list(range(6))
