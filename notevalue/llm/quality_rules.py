@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notevalue.llm.rows import SPACE, let
+from notevalue.llm.rows import NO_SPACE, SPACE, let
 from notevalue.session import cut
 
 WINDOW = 3
@@ -32,13 +32,13 @@ NAMES = (*(name for name, _ in CLASSES), "other")
 
 
 def class_counts(docs: DataFrame, text: str) -> DataFrame:
-    """`docs` with `shape`, the number of code points in each of NAMES."""
+    """`docs` with `shape`, the number of code points in each of NAMES, and `other`, those of the last one."""
     rest = docs.withColumn("rest0", F.coalesce(F.col(text), F.lit("")))
     for i, (_, expression) in enumerate(CLASSES):
         rest = rest.withColumn(f"rest{i + 1}", F.regexp_replace(f"rest{i}", expression, ""))
     sizes = [F.length(f"rest{i}") for i in range(len(NAMES))]
     counts = [a - b for a, b in zip(sizes, sizes[1:], strict=False)] + [sizes[-1]]
-    return rest.withColumn("shape", F.array(*counts)).drop(*[f"rest{i}" for i in range(len(NAMES))])
+    return rest.withColumns({"shape": F.array(*counts), "other": F.col(f"rest{len(CLASSES)}")}).drop(*[f"rest{i}" for i in range(len(NAMES))])
 
 
 def spoken(text: Column) -> Column:
@@ -98,7 +98,8 @@ def _repeated_words(words: str) -> Column:
         gaps = F.transform(places, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - p, F.lit(WINDOW))))
         return F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
 
-    return let(F.array_sort(hashed), lambda rows: let(F.array_sort(twice(rows)), covered))
+    # sort_array orders natively; array_sort would evaluate its comparison as an expression for every pair.
+    return let(F.sort_array(hashed), lambda rows: let(F.sort_array(twice(rows)), covered))
 
 
 def judge(docs: DataFrame, reference: DataFrame | None = None, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
@@ -111,13 +112,14 @@ def judge(docs: DataFrame, reference: DataFrame | None = None, key: str = "doc_i
     reference = references(docs, lang, text) if reference is None else reference
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("language"), body.alias("body"))
-    rows = rows.withColumn("words", F.array_remove(F.split("body", SPACE), "")).withColumn("lines", F.filter(F.split("body", "\n"), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0))
+    rows = rows.withColumn("words", F.array_remove(F.split("body", SPACE), "")).withColumn("lines", F.filter(F.split("body", "\n"), lambda x: F.regexp_like(x, F.lit(NO_SPACE))))
     rows = class_counts(rows, "body")
     rows = rows.select(
         key, "language", "body", "shape",
         F.size("words").cast("long").alias("n_words"),
         (F.length("body") - F.col("shape")[1]).cast("long").alias("word_chars"),
-        (F.length("body") - F.length(F.regexp_replace("body", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
+        # No symbol is in a class of its own, so what the classes leave holds them all.
+        (F.length("other") - F.length(F.regexp_replace("other", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words("words").cast("long").alias("n_repeat_words"),
     )

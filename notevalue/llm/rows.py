@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Python's and the contracts' white space: space and \\t \\n \\v \\f \\r.
 SPACE = r"[\x20\x09-\x0D]+"
+NO_SPACE = r"[^\x20\x09-\x0D]"
 # Rows are handed to the step function in slices of about this many bytes of text.
 SLICE_BYTES = 16 << 20
 
