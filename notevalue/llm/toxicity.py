@@ -10,7 +10,8 @@ its significant segments, and a monotone table fitted on the training texts turn
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -72,17 +73,9 @@ class Segments:
     def passages(self, text: bytes | None) -> list[tuple[int, int, float]]:
         """`first word, end word, bits` of every significant maximal segment, in order."""
         words = tokens(text)
-        known: dict[bytes, list[float]] = {}
-        values = []
-        for w in words:
-            v = known.get(w)
-            if v is None:
-                v = known[w] = [self.score_of(w) - MARGIN, 0.0]
-            # A word said again tells less: its n-th use has an n-th of the score.
-            v[1] += 1
-            values.append(v[0] / v[1] if v[0] > 0 else v[0])
+        known = {w: self.score_of(w) - MARGIN for w in set(words)}
         found = []
-        for first, end, score in maximal_segments(values):
+        for first, end, score in maximal_segments([known[w] for w in words]):
             # Expected number of chance segments with this score: scale * n * exp(-rate * score).
             surprise = self.rate * score - math.log(self.scale * len(words))
             if surprise > -math.log(CHANCE):
@@ -138,6 +131,21 @@ def _counts(labelled: DataFrame, label: str, text: str) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") + F.col("good") >= LEAST_COUNT)
 
 
+def _scanned(clean: DataFrame, segments: Segments, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The scores that a scan of these texts meets, repeats and beginnings included, and how many words have each."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        totals: Counter[float] = Counter()
+        for body in batch.column(0).to_pylist():
+            for word, n in Counter(tokens(body)).items():
+                totals[segments.score_of(word)] += n
+        return pa.RecordBatch.from_arrays([pa.array(totals.keys(), pa.float64()), pa.array(totals.values(), pa.int64())], names=["score", "n"])
+
+    # At most one row for each entry of the token table, and one for unknown words.
+    rows = map_text(clean.select(F.col(text).alias("text")), step, "score double, n bigint").groupBy("score").agg(F.sum("n").alias("n")).orderBy("score").collect()
+    return np.array([r["score"] for r in rows], dtype=float), np.array([r["n"] for r in rows], dtype=float)
+
+
 def fit_segments(labelled: DataFrame, label: str = "toxic", text: str = "text") -> Segments:
     """The token table of texts labelled 0 or 1; rows with a null label are not used.
 
@@ -163,10 +171,10 @@ def fit_segments(labelled: DataFrame, label: str = "toxic", text: str = "text")
     known = [r for r in table if not bytes(r["term"]).endswith(b"*")]
     bad, good = sum(r["bad"] for r in known), sum(r["good"] for r in known)
     unknown = min(-0.05, math.log((n_bad - bad + 1) / (n_bad + 1)) - math.log((n_good - good + 1) / (n_good + 1)))
-    shares = np.array([r["good"] + 0.01 for r in known] + [max(n_good - good, 1.0)]) / n_good
-    values = np.array([r["score"] for r in known] + [unknown])
-    rate, scale = extreme_value_law(shares / shares.sum(), values - MARGIN)
-    return Segments(scores, unknown, rate, scale)
+    segments = Segments(scores, unknown, 1.0, 1.0)
+    values, times = _scanned(labelled.filter(F.col(label) == 0), segments, text)
+    rate, scale = extreme_value_law(times / times.sum(), values - MARGIN)
+    return replace(segments, rate=rate, scale=scale)
 
 
 def extreme_value_law(shares: np.ndarray, values: np.ndarray) -> tuple[float, float]:

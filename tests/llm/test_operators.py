@@ -153,6 +153,24 @@ def test_toxicity(spark, small):
     assert toxicity.fit(labelled.limit(0)).segments.scores == {}
 
 
+def test_a_toxic_passage_counts_the_same_wherever_it_stands():
+    segments = toxicity.Segments({b"vile": 5.0, b"slur": 5.0}, -0.1, 1.0, 0.1)
+    found = segments.passages(("calm " * 50 + "vile slur " * 2).encode() * 6)
+    assert [(a, b) for a, b, _ in found] == [(54 * i + 50, 54 * i + 54) for i in range(6)]
+    assert [bits for *_, bits in found] == pytest.approx([found[0][2]] * 6)
+
+
+def test_the_limit_fits_the_scores_of_the_scan(spark):
+    rng = random.Random(7)
+    plain = lambda n: " ".join("".join(rng.choices("abcdefghij", k=3)) for _ in range(n))
+    told = lambda: " vile slur" * rng.randint(1, 4) + " unkind" + "".join(rng.choices("klmnopqrst", k=4))
+    rows = [(int(i % 5 == 0), plain(60) + told() * (i % 5 == 0 or i % 50 == 1)) for i in range(3000)]
+    segments = toxicity.fit_segments(spark.createDataFrame(rows, "toxic int, text string"))
+    met = [segments.score_of(w) - toxicity.MARGIN for flag, t in rows if not flag for w in toxicity.tokens(t.encode())]
+    assert segments.score_of(b"unkindzz") > toxicity.MARGIN and np.mean(np.exp(segments.rate * np.array(met))) == pytest.approx(1)
+    assert segments.scale == pytest.approx(np.mean(np.array(met) > 0))
+
+
 def test_odd_rows_are_scored(odd, none):
     model = toxicity.fit(odd.select(F.lit(1).alias("toxic"), "text"))
     assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(none, model).count() == 0
