@@ -1,6 +1,6 @@
 """Quality rules: simple counts, and divergence from what the language usually looks like.
 
-For each language the corpus gives a reference: the shares of six character classes, and of its
+For each language, however small, the corpus gives a reference: the shares of six character classes, and of its
 common words, those that make up at least one in two hundred of its words (so at most two hundred).
 A text whose histogram is further from its language's reference than a limit, by Jensen-Shannon
 distance, is rejected; texts that are too short to tell are not. All of it is DataFrame code.
@@ -16,8 +16,9 @@ from notevalue.session import cut
 
 WINDOW = 3
 LEAST_WORDS = 50
-# The share of a language's words that makes a word a common one, and of the corpus's words that
-# gives a language its own reference; they bound both tables.
+# The share of a language's words that makes a word a common one, and of the corpus's rows or
+# characters that makes a language a large one. References of large languages are broadcast; those
+# of all others are joined by key, where none has more than this share of the rows or the text.
 COMMON_SHARE = 1 / 200
 LANGUAGE_SHARE = 1 / 1000
 BUCKETS = 65_536
@@ -46,28 +47,49 @@ def spoken(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", "  ")), F.lit(" "))
 
 
-def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """`language, shape_share, common, common_share` of every language with enough words.
+def _words(docs: DataFrame) -> DataFrame:
+    return docs.select("language", F.explode(F.split(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " ")), " ")).alias("word")).filter("word <> ''")
 
-    Common words are found exactly: a word that reaches the share lies in a hash bucket that does,
-    so words are counted only in such buckets.
-    """
-    language = F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("language")
-    words = docs.select(language, F.explode(F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), " ")).alias("word")).filter("word <> ''")
+
+def _common(found: DataFrame) -> DataFrame:
+    """`language, common` from `language, words, word, n`."""
+    often = found.filter(F.col("n") >= F.col("words") * COMMON_SHARE)
+    return often.groupBy("language").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("words")).alias("share")))).alias("common"))
+
+
+def _common_of_large(docs: DataFrame) -> DataFrame:
+    """A word that reaches the share lies in a hash bucket that does, so words are counted only in such buckets."""
+    words = _words(docs)
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket")
     counted = cut(words.groupBy("language", bucket).agg(F.count("*").alias("n")))
     totals = counted.groupBy("language").agg(F.sum("n").alias("words"))
-    every = F.broadcast(totals.agg(F.sum("words").alias("every")))
-    totals = totals.join(every, F.col("words") >= F.col("every") * LANGUAGE_SHARE).select("language", "words")
     heavy = counted.join(F.broadcast(totals), "language").filter(F.col("n") >= F.col("words") * COMMON_SHARE).select("language", "bucket", "words")
-    found = words.withColumn("bucket", bucket).join(F.broadcast(heavy), ["language", "bucket"]).groupBy("language", "words", "word").agg(F.count("*").alias("n"))
-    common = found.filter(F.col("n") >= F.col("words") * COMMON_SHARE).groupBy("language").agg(F.array_sort(F.collect_list(F.struct("word", (F.col("n") / F.col("words")).alias("share")))).alias("common"))
-    shapes = class_counts(docs.select(language, F.col(text).alias("text")), "text").groupBy("language").agg(*[F.sum(F.col("shape")[i]).alias(n) for i, n in enumerate(NAMES)])
+    return _common(words.withColumn("bucket", bucket).join(F.broadcast(heavy), ["language", "bucket"]).groupBy("language", "words", "word").agg(F.count("*").alias("n")))
+
+
+def _common_of_small(docs: DataFrame) -> DataFrame:
+    """However many languages there are, nothing is broadcast: counts of their words are dealt by language and word."""
+    counted = cut(_words(docs).groupBy("language", "word").agg(F.count("*").alias("n")))
+    return _common(counted.join(counted.groupBy("language").agg(F.sum("n").alias("words")), "language"))
+
+
+def references(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """`language, large, shape_share, common, common_share` of every language, written once; common words are exact."""
+    docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("language"), F.col(text).alias("text"))
     size = sum((F.col(n) for n in NAMES), F.lit(0))
-    shapes = shapes.select("language", F.array(*[F.col(n) / F.greatest(size, F.lit(1)) for n in NAMES]).alias("shape_share"))
-    return totals.select("language").join(shapes, "language").join(common, "language", "left").select(
-        "language", "shape_share", F.coalesce("common.word", F.array().cast("array<string>")).alias("common"), F.coalesce("common.share", F.array().cast("array<double>")).alias("common_share")
-    )
+    shapes = class_counts(docs, "text").groupBy("language").agg(F.count("*").alias("rows"), *[F.sum(F.col("shape")[i]).alias(n) for i, n in enumerate(NAMES)])
+    shapes = cut(shapes.withColumn("size", size))
+    every = shapes.agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).first()
+    large = (F.col("rows") >= (every["rows"] or 0) * LANGUAGE_SHARE) | (F.col("size") >= (every["size"] or 0) * LANGUAGE_SHARE)
+    shapes = shapes.select("language", large.alias("large"), F.array(*[F.col(n) / F.greatest("size", F.lit(1)) for n in NAMES]).alias("shape_share"))
+    if shapes.filter("NOT large").isEmpty():
+        common = _common_of_large(docs)
+    else:
+        names = F.broadcast(shapes.filter("large").select("language"))
+        common = _common_of_large(docs.join(names, "language", "left_semi")).unionByName(_common_of_small(docs.join(names, "language", "left_anti")))
+    return cut(shapes.join(common, "language", "left").select(
+        "language", "large", "shape_share", F.coalesce("common.word", F.array().cast("array<string>")).alias("common"), F.coalesce("common.share", F.array().cast("array<double>")).alias("common_share")
+    ))
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -102,19 +124,11 @@ def _repeated_words(words: str) -> Column:
     return let(F.sort_array(hashed), lambda rows: let(F.sort_array(twice(rows)), covered))
 
 
-def judge(docs: DataFrame, reference: DataFrame | None = None, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """Per row of `docs`: the base counts, both distances, `base_failed` and `kept`.
-
-    Distances are null where a guard holds or the language has no reference, and then reject
-    nothing. A null text is an empty one: all counts 0, rejected by the word count. A null language
-    is one of its own. Windows are compared by a 64-bit hash. Repeated rows stay; no rows give none.
-    """
-    reference = references(docs, lang, text) if reference is None else reference
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("language"), body.alias("body"))
+def _counted(rows: DataFrame, key: str) -> DataFrame:
+    """The base counts of `body`, next to what the distances need."""
     rows = rows.withColumn("words", F.array_remove(F.split("body", SPACE), "")).withColumn("lines", F.filter(F.split("body", "\n"), lambda x: F.regexp_like(x, F.lit(NO_SPACE))))
     rows = class_counts(rows, "body")
-    rows = rows.select(
+    return rows.select(
         key, "language", "body", "shape",
         F.size("words").cast("long").alias("n_words"),
         (F.length("body") - F.col("shape")[1]).cast("long").alias("word_chars"),
@@ -123,7 +137,26 @@ def judge(docs: DataFrame, reference: DataFrame | None = None, key: str = "doc_i
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words("words").cast("long").alias("n_repeat_words"),
     )
-    rows = rows.join(F.broadcast(reference), "language", "left").withColumn("said", spoken(F.col("body")))
+
+
+def judge(docs: DataFrame, reference: DataFrame | None = None, key: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
+    """Per row of `docs`: the base counts, both distances, `base_failed` and `kept`.
+
+    `reference` is as `references` returns it. Distances are null where a guard holds or the language
+    is not in it, and then reject nothing. A null text is an empty one: all counts 0, rejected by the word count. A null language
+    is one of its own. Windows are compared by a 64-bit hash. Repeated rows stay; no rows give none.
+    """
+    reference = references(docs, lang, text) if reference is None else reference
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(key), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("language"), body.alias("body"))
+    large, small = F.broadcast(reference.filter("large")), reference.filter("NOT large")
+    if small.isEmpty():
+        rows = _counted(rows, key).join(large, "language", "left")
+    else:
+        names = F.broadcast(reference.filter("large").select("language"))
+        rest = _counted(rows.join(names, "language", "left_anti"), key).join(small, "language", "left")
+        rows = _counted(rows.join(names, "language", "left_semi"), key).join(large, "language").unionByName(rest)
+    rows = rows.withColumn("said", spoken(F.col("body")))
     size = F.length("body")
     said = (F.octet_length("said") - F.octet_length(F.replace("said", F.lit("  "), F.lit("")))) / 2 + 1
     times = F.transform("common", lambda w: (F.octet_length("said") - F.octet_length(F.replace(F.col("said"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2))

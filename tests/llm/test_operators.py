@@ -49,6 +49,24 @@ def test_base_counts(spark, small, documents, odd, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_junk_in_a_small_language_is_rejected(spark, monkeypatch):
+    rng = random.Random(4)
+    prose = lambda letters, n: " ".join(rng.choices([f"{a}x{b}" for a in letters for b in "stuv"], k=n))
+    junk = lambda: " ".join("".join(rng.choices("0123456789#$%", k=6)) for _ in range(60))
+    rows = [(i, "en", prose("abcdefgh", 3000)) for i in range(6)] + [(10 + i, None, None) for i in range(3)]
+    rows += [(100 * k + i, f"l{k}", prose("mnopqr", 70) if i else junk()) for k in range(1, 4) for i in range(41)]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    monkeypatch.setattr(quality_rules, "LANGUAGE_SHARE", 0.4)
+    assert {r["language"] for r in quality_rules.references(docs).filter("large").collect()} == {"en"}
+    got = {r["doc_id"]: r for r in quality_rules.judge(docs).collect()}
+    assert len(got) == len(rows)
+    for k in range(1, 4):
+        assert not got[100 * k]["base_failed"] and not got[100 * k]["kept"] and all(got[100 * k + i]["kept"] for i in range(1, 41))
+    # Both paths give the same distances.
+    monkeypatch.setattr(quality_rules, "LANGUAGE_SHARE", 0.0)
+    assert {r["doc_id"]: r for r in quality_rules.judge(docs).collect()} == got
+
+
 def test_divergence_is_a_distance(spark):
     rows = spark.createDataFrame([([0.5, 0.5], [0.5, 0.5]), ([1.0, 0.0], [0.0, 1.0]), (None, [1.0])], "p array<double>, q array<double>")
     assert [r[0] for r in rows.select(quality_rules.divergence(F.col("p"), F.col("q"))).collect()] == [0.0, 1.0, None]
