@@ -10,9 +10,6 @@ from notevalue.plans import sql
 from notevalue.plans.bindings import curated, parsed
 from notevalue.session import cut, work_path
 
-# Smaller than the defaults, which are sized for a cluster: the query must end on one machine.
-COMPONENTS, TREES, DEPTH = 16, 20, 8
-
 
 def _splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     both = cut(curated(spark, sf_dir))
@@ -84,7 +81,7 @@ def m8_tfidf_note(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def m9_lsa_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _splits(spark, sf_dir)
-    return _board(regress.fit_lsa_forest(train, COMPONENTS, TREES, depth=DEPTH), test)
+    return _board(regress.fit_lsa_forest(train), test)
 
 
 def m10_predict(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,13 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from notevalue.functions import fixed
 from notevalue.operators import blend, features, regress, retrieve
 from notevalue.operators.regress import LABEL
+from notevalue.plans import modelling
 from notevalue.sources.vector_table import load_vector_table, save_vector_table
 from rows import NOTE, priced
 
@@ -85,6 +89,33 @@ def test_ridge_matches_the_closed_form(spark):
     assert model.regressor.intercept == pytest.approx(y.mean() - x.mean(0) @ weights, abs=1e-5)
 
 
+def test_the_shipped_ridge_matches_the_closed_form(spark):
+    df = cellar(spark)
+    model = regress.fit_tfidf_note(df, max_features=200)
+    rows = regress._labelled(df, model.encoder).toPandas()
+    x, y = np.stack([v.toArray() for v in rows["features"]]), rows[LABEL].to_numpy()
+    centred = x - x.mean(0)
+    weights = np.linalg.solve(centred.T @ centred + fixed.RIDGE_ALPHA * np.eye(x.shape[1]), centred.T @ (y - y.mean()))
+    assert model.regressor.coefficients.toArray() == pytest.approx(weights, abs=1e-6)
+    assert regress.TOLERANCE <= 1e-10
+
+
+def test_the_forest_is_registered_at_full_size(monkeypatch):
+    asked = []
+
+    def fit(*args, **kwargs):
+        bound = inspect.signature(real).bind(*args, **kwargs)
+        bound.apply_defaults()
+        asked.append(bound.arguments)
+
+    real = regress.fit_lsa_forest
+    monkeypatch.setattr(regress, "fit_lsa_forest", fit)
+    monkeypatch.setattr(modelling, "_splits", lambda *_: ("train", "test"))
+    monkeypatch.setattr(modelling, "_board", lambda model, test: None)
+    modelling.m9_lsa_forest(None, "")
+    assert [(a["components"], a["trees"], a["depth"]) for a in asked] == [(200, 200, 30)]
+
+
 def test_tfidf_learns_from_the_note_and_survives_storage(spark, tmp_path):
     df = cellar(spark)
     calls = []
