@@ -220,6 +220,14 @@ def build_vector_table(train: DataFrame, embeddings: DataFrame, key: str = "id")
     return rows.join(embeddings.select(F.col("vec_id").alias(key), "embedding"), key).select("id", "document", "embedding", "facts")
 
 
+def missing_vectors(notes: DataFrame, embeddings: DataFrame, key: str = "id") -> DataFrame:
+    """`id, split, n_missing`: notes that `build_vector_table` and searches leave out for want of a vector, and how
+    many of their split there are. A vector that is null counts as none."""
+    known = embeddings.filter(F.col("embedding").isNotNull()).select(F.col("vec_id").alias(key))
+    missing = notes.select(*{"id", key, "split"}).join(known, key, "left_anti").select("id", "split")
+    return missing.join(F.broadcast(missing.groupBy("split").agg(F.count("*").alias("n_missing"))), "split").select("id", "split", "n_missing")
+
+
 def _with_facts(found: DataFrame, corpus: DataFrame) -> DataFrame:
     return found.join(corpus.select("id", "document", "facts.*"), "id")
 

@@ -49,6 +49,12 @@ def s7_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("id", "document", "facts.*", F.round(total, 4).alias("embedding_sum"))
 
 
+def s7_missing_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of every split that have no vector, with their number per split."""
+    splits = cut(curated(spark, sf_dir).select("ordinal", "id", "split"))
+    return retrieve.missing_vectors(splits, table(spark, sf_dir, "embeddings"), "ordinal")
+
+
 def _all_pairs_search(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     found = retrieve.knn(vectors.withColumnRenamed("id", "q"), vectors, 5, **options)
@@ -130,7 +136,7 @@ def b4_comparables(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        s7_vector_table, r1_knn, r1_knn_cells, r2_neighbour_price, r3_context, r4_embedding_sample, r4_top_varieties,
+        s7_vector_table, s7_missing_vectors, r1_knn, r1_knn_cells, r2_neighbour_price, r3_context, r4_embedding_sample, r4_top_varieties,
         r5_retrieval_audit, b1_blend_features, b2_fit_blend, b3_blend_predict, b4_estimates, b4_comparables,
     )
 }

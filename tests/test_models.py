@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from notevalue.functions import fixed
 from notevalue.operators import blend, features, regress, retrieve
 from notevalue.operators.regress import LABEL
-from notevalue.plans import modelling
+from notevalue.plans import modelling, retrieval
 from notevalue.sources.vector_table import load_vector_table, save_vector_table
 from rows import NOTE, priced
 
@@ -192,6 +192,20 @@ def corpus(spark):
     return retrieve.build_vector_table(train, vectors)
 
 
+def test_notes_without_a_vector_are_returned_with_their_number(spark):
+    notes = cellar(spark, 3).withColumn("split", F.when(F.col("id") < 4, "train").otherwise("test"))
+    vectors = spark.createDataFrame([(0, [0.0]), (2, None), (4, [1.0])], "vec_id bigint, embedding array<float>")
+    rows = retrieve.missing_vectors(notes, vectors).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "train", 3), (2, "train", 3), (3, "train", 3), (5, "test", 1)]
+
+
+def test_every_registered_note_has_a_vector_or_is_missing(spark, small):
+    missing = {r["id"] for r in retrieval.s7_missing_vectors(spark, small).collect()}
+    splits, corpus, queries = retrieval._world(spark, small)
+    found = {r["id"] for r in corpus.collect()} | {r["q"] for r in queries.collect()}
+    assert not missing & found and missing | found == {r["id"] for r in splits.collect()}
+
+
 def test_context_lists_neighbours_in_rank_order(spark, tmp_path):
     table = corpus(spark)
     save_vector_table(table, str(tmp_path / "v"))
