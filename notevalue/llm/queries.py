@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notevalue.llm import decontaminate, packing, pseudonyms, quality_model, quality_rules, secrets, sharding, simhash, token_counts, toxicity
+from notevalue.llm import alignment, decontaminate, packing, pseudonyms, quality_model, quality_rules, secrets, sentence_pieces, sharding, simhash, token_counts, toxicity
 from notevalue.session import cut, work_path
 
 TOXIC_AT = 0.3
@@ -111,5 +111,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_pseudonyms, op3_sharding, op4_simhash, op5_secrets, op6_toxicity, op7_decontamination, op8_quality, op9_packing, op10_token_counts)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.linked(cut(alignment.align(table(spark, sf_dir, "documents"))))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents")))
+    ids = F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_pseudonyms, op3_sharding, op4_simhash, op5_secrets, op6_toxicity, op7_decontamination, op8_quality, op9_packing,
+        op10_token_counts, op11_alignment, op12_sentence_pieces,
+    )
+}
 ORACLES: dict[str, str] = {}
