@@ -36,12 +36,13 @@ BLOCK = 1 << 16
 class Tokenizer:
     """`encode(text)` gives ids whose `surface` bytes, joined, should be a space and the text."""
 
-    def __init__(self, encode: Callable[[str], list[int]], surface: list[bytes]) -> None:
+    def __init__(self, encode: Callable[[str], np.ndarray], surface: list[bytes]) -> None:
         self.encode = encode
         self.surface = surface
+        self.names = list(map(str, range(len(surface))))
         self.sizes = np.array([len(x) for x in surface], np.int64)
 
-    def ends(self, ids: list[int]) -> np.ndarray:
+    def ends(self, ids: np.ndarray) -> np.ndarray:
         return np.cumsum(self.sizes[ids])
 
 
@@ -59,7 +60,7 @@ def spaced_byte_bpe_50k() -> Tokenizer:
     surface = [b""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         surface[i] = piece
-    return Tokenizer(lambda text: encoding.encode_ordinary(" " + text), surface)
+    return Tokenizer(lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()), surface)
 
 
 def piece_bpe_32k() -> Tokenizer:
@@ -70,7 +71,7 @@ def piece_bpe_32k() -> Tokenizer:
     library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     names = [library.id_to_piece(i) for i in range(library.get_piece_size())]
     surface = [bytes([int(x[1:-1], 16)]) if library.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)]
-    return Tokenizer(library.encode, surface)
+    return Tokenizer(library.encode_as_numpy, surface)
 
 
 def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[bool, int, int, int, int]]:
@@ -122,45 +123,43 @@ class Aligner:
     def __init__(self, first: Tokenizer, second: Tokenizer) -> None:
         self.first, self.second = first, second
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Both rows of ids; none where either does not spell a space and the text."""
+        none = np.array([], np.int64)
         if not text:
-            return [], []
+            return none, none
         whole = b" " + text.encode()
         rows = []
         for side in (self.first, self.second):
             ids = side.encode(text)
-            if b"".join(map(side.surface.__getitem__, ids)) != whole:
-                return [], []
-            rows.append(ids)
+            if b"".join(map(side.surface.__getitem__, ids.tolist())) != whole:
+                return none, none
+            rows.append(ids.astype(np.int64))
         return rows[0], rows[1]
 
     def align(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
         """Numbers of A and B tokens and groups, the digest of the groups, codes of links, and how often each occurs."""
         a, b = self.tokens(text)
-        if not a:
-            return 0, 0, 0, "", np.array([], np.int64), np.array([], np.int64)
-        digest, held, count = hashlib.sha256(), [], 0
-        last_a, last_b = [], []
+        if not len(a):
+            return 0, 0, 0, "", a, a
+        names_a, names_b = (list(map(side.names.__getitem__, ids.tolist())) for side, ids in ((self.first, a), (self.second, b)))
+        digest, held, stretches = hashlib.sha256(), [], []
         for in_step, i, j, i2, j2 in groups(self.first.ends(a), self.second.ends(b)):
             if in_step:
-                x, y = a[i:i2], b[j:j2]
-                last_a += x
-                last_b += y
-                held += [f"{p}|{q}" for p, q in zip(x, y, strict=True)]
+                held += [f"{p}|{q}" for p, q in zip(names_a[i:i2], names_b[j:j2], strict=True)]
+                stretches.append((i, j, i2 - i))
             else:
-                last_a.append(a[i2 - 1])
-                last_b.append(b[j2 - 1])
-                held.append(f"{','.join(map(str, a[i:i2]))}|{','.join(map(str, b[j:j2]))}")
+                held.append(f"{','.join(names_a[i:i2])}|{','.join(names_b[j:j2])}")
+                stretches.append((i2 - 1, j2 - 1, 1))
             if len(held) > BLOCK:
-                digest.update((";" if count else "").encode() + ";".join(held).encode())
-                count += len(held)
-                held = []
-        if held:
-            digest.update((";" if count else "").encode() + ";".join(held).encode())
-            count += len(held)
-        links, times = np.unique(np.array(last_a, np.int64) * STRIDE + np.array(last_b, np.int64), return_counts=True)
-        return len(a), len(b), count, digest.hexdigest(), links, times
+                # The last one waits, as no separator may follow the last of all.
+                digest.update((";".join(held[:-1]) + ";").encode())
+                held = held[-1:]
+        digest.update(";".join(held).encode())
+        i, j, size = np.array(stretches).T
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        links, times = np.unique(a[np.repeat(i, size) + step] * STRIDE + b[np.repeat(j, size) + step], return_counts=True)
+        return len(a), len(b), len(step), digest.hexdigest(), links, times
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:

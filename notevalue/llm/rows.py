@@ -20,12 +20,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """`batch` in pieces of bounded text size, at least one row each."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
-        if total and total + size > SLICE_BYTES:
+        if total and total + size > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += size

@@ -6,8 +6,8 @@ pairs whose symbols have changed meanwhile are passed over. Characters outside t
 byte pieces. No piece of a usual vocabulary holds a space mark after another character, so no merge
 crosses such a place: texts are split there, and runs that were met before are looked up.
 
-Each text's ids and each decoded text are compared with the sentencepiece library inside the Arrow
-batch; a difference is an error.
+Inside each Arrow batch the ids of every run met for the first time, and every decoded text, are
+compared with the sentencepiece library; a difference is an error. Whole texts can be compared too.
 """
 
 from __future__ import annotations
@@ -26,9 +26,16 @@ from pyspark.sql import functions as F
 from notevalue.llm.rows import slices
 
 MARK = "▁"
-# Runs a task remembers at most, and the longest of them in characters.
-MEMORY = 300_000
+# Text that is split into runs at once.
+SLICE_BYTES = 4 << 20
+# Runs a task remembers before it starts anew, and the longest of them in characters.
+MEMORY = 500_000
 LONGEST = 64
+# Runs whose agendas advance together.
+TOGETHER = 100_000
+NEVER = float("inf")
+# Symbols are below this, so that a pair of them is one number.
+WIDE = 1 << 32
 
 
 def piece_bpe_32k() -> str:
@@ -41,9 +48,10 @@ def piece_bpe_32k() -> str:
 class Pieces(dict):
     """A vocabulary, and the ids of the runs met so far."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, check: bool = True) -> None:
         from sentencepiece import SentencePieceProcessor
 
+        self.check = check
         self.library = library = SentencePieceProcessor(model_file=path)
         ids = range(library.get_piece_size())
         names = [library.id_to_piece(i) for i in ids]
@@ -56,6 +64,16 @@ class Pieces(dict):
         if not all(map(library.is_byte, self.bytes)):
             raise ValueError("the vocabulary has no byte pieces")
         self.prefix = MARK if library.normalize("x").startswith(MARK) else ""
+        # Characters in pieces that are no pieces themselves are symbols above the ids; all others are negative.
+        self.size = len(names)
+        self.others = sorted(set("".join(self.ids)) - set(self.ids))
+        symbol = self.ids | {c: self.size + i for i, c in enumerate(self.others)}
+        self.alphabet = np.full(0x110000, -1, np.int64)
+        for c in filter(lambda x: len(x) == 1, symbol):
+            self.alphabet[ord(c)] = symbol[c]
+        splits = [(symbol[x[:k]] * WIDE + symbol[x[k:]], self.cost[x], i) for x, i in self.ids.items() for k in range(1, len(x)) if x[:k] in symbol and x[k:] in symbol]
+        pairs, costs, merged = zip(*sorted(splits), strict=True)
+        self.pairs, self.pair_cost, self.merged = np.array(pairs, np.int64), np.array(costs), np.array(merged, np.int64)
         # Characters that some piece holds side by side; merges never cross other places.
         self.joined = {pair for name in self.ids for pair in pairwise(name)}
         crossing = any(MARK in name.lstrip(MARK) for name in self.ids)
@@ -66,11 +84,84 @@ class Pieces(dict):
         self.raw = set(self.bytes)
         self.silent = {i for i in ids if library.is_control(i)}
 
+    def _costs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cost of each pair, and what it becomes; never, if no piece is spelt so."""
+        pair = left * WIDE + right
+        place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        known = self.pairs[place] == pair
+        return np.where(known, self.pair_cost[place], NEVER), self.merged[place]
+
+    def learn(self, runs: list[str]) -> None:
+        """Remembers the ids of runs of at most LONGEST characters; all agendas advance together.
+
+        A run's agenda is the stretch of `cost` beside its symbols. Every round takes the best pair,
+        the first of equals, out of each run's agenda and prices the pairs it gets as neighbours.
+        """
+        points = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32).astype(np.int64)
+        symbols = self.alphabet[points]
+        symbols = np.where(symbols < 0, -points - 1, symbols)
+        run = np.repeat(np.arange(len(runs)), list(map(len, runs)))
+        same = np.append(run[1:] == run[:-1], False)
+        cost, into = self._costs(symbols, np.append(symbols[1:], 0))
+        cost[~same] = NEVER
+        done = []
+        while len(symbols):
+            starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            sizes = np.diff(np.append(starts, len(run)))
+            best = np.repeat(np.minimum.reduceat(cost, starts), sizes)
+            over = best == NEVER
+            if over.any():
+                done.append((run[over], symbols[over]))
+                run, symbols, cost, into, best = (x[~over] for x in (run, symbols, cost, into, best))
+                if not len(run):
+                    break
+            places = np.flatnonzero(cost == best)
+            places = places[np.append(True, run[places[1:]] != run[places[:-1]])]
+            symbols[places] = into[places]
+            stay = np.ones(len(run), bool)
+            stay[places + 1] = False
+            run, symbols, cost, into = (x[stay] for x in (run, symbols, cost, into))
+            places -= np.arange(len(places))
+            # The merged symbol's pair with the next one, and the previous one's with it.
+            for at in (places, places[places > 0] - 1):
+                last = at + 1 >= len(run)
+                following = np.where(last, at, at + 1)
+                cost[at], into[at] = self._costs(symbols[at], symbols[following])
+                cost[at[last | (run[at] != run[following])]] = NEVER
+        run, symbols = (np.concatenate(x) for x in zip(*done, strict=True))
+        # Symbols of one run are done in the same round, in order.
+        order = np.argsort(run, kind="stable")
+        run, symbols = run[order], symbols[order]
+        ends = np.searchsorted(run, np.arange(len(runs) + 1)).tolist()
+        odd = set(run[(symbols < 0) | (symbols >= self.size)].tolist())
+        found = symbols.tolist()
+        for i, text in enumerate(runs):
+            ids = found[ends[i] : ends[i + 1]]
+            self[text] = tuple(self._fallen_back(ids)) if i in odd else tuple(ids)
+        for text, ids in zip(runs, self.library.encode([self._plain(text) for text in runs]) if self.check else (), strict=self.check):
+            self._compare(text, list(self[text]), ids)
+
+    def _plain(self, run: str) -> str:
+        """The text that becomes `run` when the library prepares it."""
+        return run.removeprefix(self.prefix).replace(MARK, " ")
+
+    def _compare(self, run: str, ids: list[int], expected: list[int]) -> None:
+        if ids != expected and run != self.prefix:
+            raise ValueError(f"the library encodes {run!r} otherwise")
+
+    def _fallen_back(self, symbols: list[int]) -> Iterator[int]:
+        for i in symbols:
+            if 0 <= i < self.size:
+                yield i
+            else:
+                yield from (self.bytes[x] for x in (chr(-i - 1) if i < 0 else self.others[i - self.size]).encode())
+
     def merge(self, run: str) -> list[str]:
-        """The pieces and single characters that `run` ends up as."""
+        """The pieces and single characters that a long run ends up as.
+
+        The agenda is a heap of (cost, place, next place, piece); outdated pairs are passed over.
+        """
         symbols, cost = list(run), self.cost
-        # An empty symbol stands before the first and after the last one; merged ones become empty too.
-        symbols.append("")
         before, after = list(range(-1, len(run))), list(range(1, len(run) + 1))
         agenda = [(cost[run[i : i + 2]], i, i + 1, run[i : i + 2]) for i in range(len(run) - 1) if run[i : i + 2] in cost]
         heapify(agenda)
@@ -89,24 +180,27 @@ class Pieces(dict):
         return [s for s in symbols if s]
 
     def __missing__(self, run: str) -> list[int]:
+        # Cutting a long run where nothing can merge bounds its agenda.
+        seams = [i for i, pair in enumerate(pairwise(run), 1) if pair not in self.joined]
         found: list[int] = []
-        # Cutting a run first bounds the agenda; a short one has little to gain.
-        seams = [] if len(run) <= LONGEST else [i for i, pair in enumerate(pairwise(run), 1) if pair not in self.joined]
         for a, b in pairwise([0, *seams, len(run)]):
             for piece in self.merge(run[a:b]):
                 i = self.ids.get(piece)
                 found += [self.bytes[x] for x in piece.encode()] if i is None else [i]
-        if len(run) <= LONGEST:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[run] = found
+        if self.check:
+            self._compare(run, found, self.library.encode(self._plain(run)))
         return found
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text; none for the empty one."""
-        if not text:
-            return []
-        return list(chain.from_iterable(map(self.__getitem__, self.runs.findall(self.prefix + text.replace(" ", MARK)))))
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each whole text, in turn; none for an empty one."""
+        if len(self) > MEMORY:
+            self.clear()
+        rows = [self.runs.findall(self.prefix + text.replace(" ", MARK)) if text else [] for text in texts]
+        new = [run for run in set(chain.from_iterable(rows)) if len(run) <= LONGEST and run not in self]
+        for start in range(0, len(new), TOGETHER):
+            self.learn(new[start : start + TOGETHER])
+        for row in rows:
+            yield list(chain.from_iterable(map(self.__getitem__, row)))
 
     def decode(self, ids: list[int]) -> str:
         """The text of `ids`. Bytes that are no UTF-8 become one replacement mark each."""
@@ -141,31 +235,32 @@ class Pieces(dict):
                 yield self.surface[i].decode()
 
 
-def _lists(rows: Iterator[list[int]]) -> pa.ListArray:
-    parts = [np.array(ids, np.int32) for ids in rows]
+def _lists(rows: Iterator[np.ndarray]) -> pa.ListArray:
+    parts = list(rows)
     ends = np.cumsum([0, *map(len, parts)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.array([], np.int32)))
 
 
-def encode(docs: DataFrame, model: Callable[[], str] = piece_bpe_32k, key: str = "doc_id", text: str = "text", check: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: Callable[[], str] = piece_bpe_32k, key: str = "doc_id", text: str = "text", check: bool = True, whole: bool = False) -> DataFrame:
     """`key, ids` per row: the ids of each whole text, without begin or end marks.
 
     A null text is an empty one and has no ids. Only `key` and `text` are read, repeated rows stay,
-    null keys too, and no rows give no rows. `model` gives the vocabulary's path inside the task.
+    null keys too, and no rows give no rows. `model` gives the vocabulary's path inside the task;
+    `check` compares runs with the library, `whole` the ids of whole texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model())
+        pieces = Pieces(model(), check)
 
-        def checked(key: object, body: str | None) -> list[int]:
-            ids = pieces.encode(body or "")
-            if check and ids != pieces.library.encode(body or ""):
-                raise ValueError(f"the library encodes row {key} otherwise")
-            return ids
+        def rows(part: pa.RecordBatch) -> Iterator[np.ndarray]:
+            bodies = [body or "" for body in part.column(1).to_pylist()]
+            for k, body, ids in zip(part.column(0), bodies, pieces.encode(bodies), strict=True):
+                if whole and ids != pieces.library.encode(body):
+                    raise ValueError(f"the library encodes row {k} otherwise")
+                yield np.array(ids, np.int32)
 
-        for part in (part for batch in batches for part in slices(batch, text)):
-            found = _lists(checked(k.as_py(), body.as_py()) for k, body in zip(*part.columns, strict=True))
-            yield pa.RecordBatch.from_arrays([part.column(0), found], names=[key, "ids"])
+        for part in (part for batch in batches for part in slices(batch, text, SLICE_BYTES)):
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(rows(part))], names=[key, "ids"])
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>")
 
@@ -174,16 +269,18 @@ def decode(rows: DataFrame, model: Callable[[], str] = piece_bpe_32k, key: str =
     """`key, ids, text` per row; null ids count as none, and none give the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model())
+        pieces = Pieces(model(), check)
 
-        def checked(key: object, numbers: list[int] | None) -> str:
-            body = pieces.decode(numbers or [])
-            if check and body != pieces.library.decode(numbers or []):
+        def decoded(key: object, numbers: list[int]) -> str:
+            body = pieces.decode(numbers)
+            if check and body != pieces.library.decode(numbers):
                 raise ValueError(f"the library decodes row {key} otherwise")
             return body
 
         for batch in batches:
-            texts = [checked(k.as_py(), numbers.as_py()) for k, numbers in zip(*batch.columns, strict=True)]
+            lists = batch.column(1)
+            numbers, ends = lists.flatten().to_numpy(), np.cumsum([0, *pa.compute.fill_null(lists.value_lengths(), 0).to_pylist()])
+            texts = [decoded(k.as_py(), numbers[a:b].tolist()) for k, (a, b) in zip(batch.column(0), pairwise(ends.tolist()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[key, "ids", "text"])
 
     return rows.select(F.col(key), F.col(ids).alias("ids")).mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>, text string")
