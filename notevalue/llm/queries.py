@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notevalue.llm import alignment, decontaminate, packing, pseudonyms, quality_model, quality_rules, secrets, sentence_pieces, sharding, simhash, token_counts, toxicity
+from notevalue.llm import alignment, collocations, decontaminate, packing, pseudonyms, quality_model, quality_rules, secrets, sentence_pieces, sharding, simhash, token_counts, toxicity
 from notevalue.session import cut, work_path
 
 TOXIC_AT = 0.3
@@ -121,11 +121,15 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_pseudonyms, op3_sharding, op4_simhash, op5_secrets, op6_toxicity, op7_decontamination, op8_quality, op9_packing,
-        op10_token_counts, op11_alignment, op12_sentence_pieces,
+        op10_token_counts, op11_alignment, op12_sentence_pieces, op13_collocations,
     )
 }
 ORACLES: dict[str, str] = {}
