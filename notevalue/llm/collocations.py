@@ -15,7 +15,9 @@ of fixed size: a false bit costs time, never a wrong count, as the union drops w
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Iterator
+from itertools import chain, pairwise, repeat, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -60,38 +62,40 @@ class Transducer:
         return len(self.first) - 2
 
     @staticmethod
-    def build(words: list[bytes], keys: Iterable[tuple[int, ...]], weights: Iterable[int]) -> Transducer:
-        """From ascending sequences of positions in `words` and their counts."""
+    def build(words: list[bytes], columns: list[list[int]], weights: list[int]) -> Transducer:
+        """From ascending sequences of positions in `words`, the n-th positions in one column, -1 after an end.
+
+        Sequences are added in order; a state is closed, and shared with an equal one, once the
+        last sequence through it is in.
+        """
         states: list[tuple] = [()]
         known = {(): 0}
-        # The open arcs of every state on the last sequence's path.
-        path: list[list] = [[]]
-        last: tuple[int, ...] = ()
-
-        def close(depth: int) -> None:
-            while len(path) > depth + 1:
-                arcs = tuple(map(tuple, path.pop()))
-                state = known.get(arcs)
-                if state is None:
-                    state = known[arcs] = len(states)
-                    states.append(arcs)
-                path[-1][-1][2] = state
-
-        for key, weight in zip(keys, weights, strict=True):
-            same = 0
-            for x, y in zip(last, key, strict=False):
-                if x != y:
-                    break
-                same += 1
-            close(same)
-            for word in key[same:]:
-                path[-1].append([word, 0, 0])
-                path.append([])
-            path[-2][-1][1] = weight
-            last = key
-        close(0)
-        states.append(tuple(map(tuple, path[0])))
-        arcs = [arc for state in states for arc in state]
+        depth_of_all = len(columns) - 1
+
+        def close(arcs: tuple) -> int:
+            state = known.get(arcs)
+            if state is None:
+                state = known[arcs] = len(states)
+                states.append(arcs)
+            return state
+
+        def arcs_of(low: int, high: int, depth: int) -> tuple:
+            column = columns[depth]
+            if depth == depth_of_all:
+                return tuple(zip(column[low:high], weights[low:high], repeat(0)))
+            arcs = []
+            while low < high:
+                after = bisect_right(column, column[low], low, high)
+                # A sequence that ends here comes before those that go on.
+                ends = columns[depth + 1][low] < 0
+                target = close(arcs_of(low + ends, after, depth + 1)) if low + ends < after else 0
+                arcs.append((column[low], weights[low] if ends else 0, target))
+                low = after
+            return tuple(arcs)
+
+        # The start is the last state, even where an equal one is known.
+        states.append(arcs_of(0, len(weights), 0) if weights else ())
+        arcs = list(chain.from_iterable(states))
         first = np.cumsum([0, *map(len, states)]).tolist()
         label, weight, target = map(list, zip(*arcs, strict=True)) if arcs else ([], [], [])
         return Transducer(words, first, label, weight, target)
@@ -111,13 +115,15 @@ def union(transducers: list[Transducer], least: int) -> Iterator[tuple[tuple[byt
         sums: dict[bytes, int] = {}
         behind: dict[bytes, list] = {}
         for one, state in members:
-            words, label, weight, target = one.words, one.label, one.weight, one.target
-            for k in range(one.first[state], one.first[state + 1]):
-                word = words[label[k]]
-                sums[word] = sums.get(word, 0) + weight[k]
-                if target[k]:
-                    behind.setdefault(word, []).append((one, target[k]))
-        for word in sorted(sums):
+            arcs = slice(one.first[state], one.first[state + 1])
+            words, targets = [*map(one.words.__getitem__, one.label[arcs])], one.target[arcs]
+            for word, weight in zip(words, one.weight[arcs], strict=True):
+                sums[word] = sums.get(word, 0) + weight
+            if any(targets):
+                for word, target in zip(words, targets, strict=True):
+                    if target:
+                        behind.setdefault(word, []).append((one, target))
+        for word in sorted(word for word, weight in sums.items() if weight >= least or word in behind):
             key = (*before, word)
             if sums[word] >= least:
                 yield key, sums[word]
@@ -145,8 +151,9 @@ def compose(asked: Transducer, counts: Transducer) -> Iterator[tuple[tuple[bytes
 def from_keys(counted: list[tuple[tuple[bytes, ...], int]]) -> Transducer:
     """From sequences of words, ascending."""
     words = sorted({word for key, _ in counted for word in key})
-    place = {word: i for i, word in enumerate(words)}
-    return Transducer.build(words, (tuple(map(place.__getitem__, key)) for key, _ in counted), (n for _, n in counted))
+    place = {word: i for i, word in enumerate(words)} | {None: -1}
+    columns = [[place[word] for word in column] for column in zip_longest(*(key for key, _ in counted))]
+    return Transducer.build(words, columns, [n for _, n in counted])
 
 
 def _read(table: pa.Table | pa.RecordBatch) -> list[Transducer]:
@@ -200,8 +207,8 @@ class Shard:
         self.ids = array("i")
 
     def add(self, text: bytes) -> None:
-        tokens = text.translate(PLAIN).replace(BREAK, b" \xff ").split(b" ")
-        self.ids.extend(map(self.words.__getitem__, filter(None, tokens)))
+        # No white space but the blank is left, so that split() parts at blanks only.
+        self.ids.extend(map(self.words.__getitem__, text.translate(PLAIN).replace(BREAK, b" \xff ").split()))
         self.ids.append(0)
 
     def rows(self, orders: tuple[int, ...], frequent: np.ndarray | None, power: int) -> Iterator[dict]:
@@ -235,33 +242,24 @@ class Shard:
             # The n-gram that starts here is wanted if all its shorter parts are frequent.
             steps = range(size - orders[0] + 2) if orders[0] > 1 else range(1)
             width = len(ids) - size + 1
-            if width <= 0:
-                continue
-            begins = np.flatnonzero(np.logical_and.reduce([fits[k : k + width] for k in steps]))
-            grams = [ids[begins + k] for k in range(size)]
-            found.append(_counted(grams, len(words)))
-        keys, counts = found[0] if found else ([], np.array([], np.int64))
-        if len(found) > 1:
-            merged = sorted((key, n) for grams, count in found for key, n in zip(zip(*(g.tolist() for g in grams), strict=True), count.tolist(), strict=True))
-            if not merged:
-                return
-            cells = [int(lead[key[0]] + second[key[1]]) for key, _ in merged]
-            by_cell: dict[int, list] = {}
-            for cell, item in zip(cells, merged, strict=True):
-                by_cell.setdefault(cell, []).append(item)
-            groups = ((cell, [k for k, _ in items], [c for _, c in items]) for cell, items in by_cell.items())
-        else:
-            if not len(counts):
-                return
-            cells = lead[keys[0]] + (second[keys[1]] if len(keys) > 1 else 0)
-            by = np.argsort(cells, kind="stable")
-            edges = [0, *(np.flatnonzero(np.diff(cells[by])) + 1).tolist(), len(by)]
-            groups = ((int(cells[by[a]]), list(zip(*(k[by[a:b]].tolist() for k in keys), strict=True)), counts[by[a:b]].tolist()) for a, b in zip(edges, edges[1:], strict=False))
-        for cell, grams, count in groups:
-            used = sorted({i for key in grams for i in key})
-            place = {i: k for k, i in enumerate(used)}
-            renamed = (tuple(map(place.__getitem__, key)) for key in grams)
-            yield _row(self.lang, cell, n, Transducer.build([words[i] for i in used], renamed, count))
+            if width > 0:
+                begins = np.flatnonzero(np.logical_and.reduce([fits[k : k + width] for k in steps]))
+                columns, counts = _counted([ids[begins + k] for k in range(size)], len(words))
+                ended = [np.full(len(counts), -1)] * (orders[-1] - size)
+                found.append(np.stack([*columns, *ended, counts]))
+        grams = np.concatenate(found, axis=1) if found else np.empty((1, 0), np.int64)
+        if not grams.shape[1]:
+            return
+        cells = lead[grams[0]] + (second[grams[1]] if orders[-1] > 1 else 0)
+        by = np.lexsort([*grams[-2::-1], cells]) if len(orders) > 1 else np.argsort(cells, kind="stable")
+        grams, cells = grams[:, by], cells[by]
+        edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+        for a, b in pairwise(edges):
+            *columns, counts = grams[:, a:b]
+            used = np.unique(np.concatenate(columns))
+            used = used[used >= 0]
+            renamed = [np.where(c < 0, -1, np.searchsorted(used, c)).tolist() for c in columns]
+            yield _row(self.lang, int(cells[a]), n, Transducer.build([words[i] for i in used.tolist()], renamed, counts.tolist()))
             n = 0
 
 
@@ -430,5 +428,6 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, lang: str = "lang"
     inner = inner.groupBy("lang", F.array_join(F.expr("slice(words, begin, wide)"), " ").alias("phrase")).agg(F.max("a").alias("longer"))
     kept = weakest.join(inner, ["lang", "phrase"], "left").filter(F.col("longer").isNull() | (_exact("longer") * 100 < _exact("a") * 80))
     ranked = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(ranked).cast("bigint")).filter(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    # Compared as it is, so that each task hands on no more than `top` rows of a language.
+    best = kept.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
+    return best.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")

@@ -196,7 +196,7 @@ class Pieces(dict):
         if len(self) > MEMORY:
             self.clear()
         rows = [self.runs.findall(self.prefix + text.replace(" ", MARK)) if text else [] for text in texts]
-        new = [run for run in set(chain.from_iterable(rows)) if len(run) <= LONGEST and run not in self]
+        new = [run for run in set().union(*rows) - self.keys() if len(run) <= LONGEST]
         for start in range(0, len(new), TOGETHER):
             self.learn(new[start : start + TOGETHER])
         for row in rows:
