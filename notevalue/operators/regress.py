@@ -13,28 +13,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.regression import (
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.ml.linalg import DenseVector, VectorUDT
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed, price
+from notevalue.operators import blocks
 from notevalue.operators.features import PopScaler, RareOneHot, TextVectors, feature_frame, sparse_entries
 from notevalue.session import cut, path_exists
 
 LABEL = "_log_price"
-# Solver settings. At this tolerance coefficients agree with the closed form within 1e-5.
-MAX_ITERATIONS = 200
+# The solver's residual against the right side; coefficients then agree with the closed form within 1e-6.
 TOLERANCE = 1e-10
-# Stored feature values one solver task goes through per iteration: about 64 MB.
-NUMBERS_PER_TASK = 5_000_000
+# Memory that a forest's statistics take in each task: the more, the fewer passes over the rows.
+FOREST_MEMORY_MB = 512
 
 
 @dataclass(frozen=True)
@@ -109,12 +102,12 @@ class Encoder:
 def term_components(vectors: DataFrame, k: int) -> np.ndarray:
     """The first `k` right singular vectors of a term matrix, one row per term.
 
-    The matrix stays distributed; only the terms x k result (64 MB at 40,000 x 200) comes back.
+    Of a table with fewer rows or terms than `k`, as many as it has. The matrix stays distributed;
+    only matrices of terms x (k + 20) come back (70 MB at 40,000 x 220), one per pass.
     """
-    rows = MLUtils.convertVectorColumnsFromML(cut(vectors), "_text")
-    # Rows are few only in small trials; a rank above what the data supports is not asked for.
-    matrix = RowMatrix(rows)
-    return matrix.computeSVD(min(k, matrix.numCols(), matrix.numRows())).V.toArray()
+    width = vectors.select(F.unwrap_udt("_text")["size"].alias("n")).first()["n"]
+    rows = blocks.Blocks.of(vectors.withColumn(LABEL, F.lit(0.0)), width, LABEL, "_text")
+    return blocks.top_directions(rows, min(k, width, rows.count))[1]
 
 
 def project(df: DataFrame, column: str, components: np.ndarray) -> DataFrame:
@@ -138,24 +131,55 @@ def project(df: DataFrame, column: str, components: np.ndarray) -> DataFrame:
     return df.withColumn(column, coordinates(F.unwrap_udt(column)))
 
 
+@dataclass(frozen=True)
+class Linear:
+    """Weights of the features, and an intercept."""
+
+    weights: np.ndarray
+    intercept: float
+
+    @property
+    def coefficients(self) -> DenseVector:
+        return DenseVector(self.weights)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds `_prediction`."""
+        shared = df.sparkSession.sparkContext.broadcast(self.weights)
+        intercept = self.intercept
+
+        @F.arrow_udf("double")
+        def score(vectors: pa.Array) -> pa.Array:
+            first, index, values = blocks.entries(vectors)
+            rows = np.repeat(np.arange(len(vectors)), np.diff(first))
+            return pa.array(np.bincount(rows, values * shared.value[index], minlength=len(vectors)) + intercept)
+
+        return df.withColumn("_prediction", score(F.unwrap_udt("features")))
+
+
 @dataclass(frozen=True)
 class PriceModel:
     """An encoder and a fitted regressor on log price."""
 
     name: str
     encoder: Encoder
-    regressor: LinearRegressionModel | RandomForestRegressionModel
+    regressor: Linear | RandomForestRegressionModel
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds `guess` in dollars."""
-        scored = self.regressor.setPredictionCol("_prediction").transform(self.encoder.transform(df))
+        scored = self.regressor.transform(self.encoder.transform(df))
         return scored.withColumn("guess", F.expm1("_prediction")).drop("features", "_prediction")
 
     def save(self, spark: SparkSession, path: str) -> None:
         encoder = self.encoder
-        self.regressor.write().overwrite().save(f"{path}/regressor")
+        linear = isinstance(self.regressor, Linear)
+        if linear:
+            weights = spark.createDataFrame(list(enumerate(self.regressor.weights.tolist())), "position bigint, weight double")
+            weights.write.mode("overwrite").parquet(f"{path}/regressor")
+        else:
+            self.regressor.write().overwrite().save(f"{path}/regressor")
         settings = {
             "kind": type(self.regressor).__name__,
+            "intercept": self.regressor.intercept if linear else None,
             "name": self.name,
             "ngrams": encoder.text.ngrams if encoder.text else None,
             "components": encoder.components is not None,
@@ -202,8 +226,11 @@ def load_model(spark: SparkSession, path: str) -> ConstantModel | PriceModel:
     if settings["moments"]:
         onehot = RareOneHot(spark.read.parquet(f"{path}/categories"))
         scaler = PopScaler({name: tuple(pair) for name, pair in settings["moments"].items()})
-    kinds = {kind.__name__: kind for kind in (LinearRegressionModel, RandomForestRegressionModel)}
-    regressor = kinds[settings["kind"]].load(f"{path}/regressor")
+    if settings["kind"] == Linear.__name__:
+        weights = spark.read.parquet(f"{path}/regressor").orderBy("position").collect()
+        regressor = Linear(np.array([r["weight"] for r in weights]), settings["intercept"])
+    else:
+        regressor = RandomForestRegressionModel.load(f"{path}/regressor")
     return PriceModel(settings["name"], Encoder(text, components, onehot, tuple(settings["slots"]), scaler), regressor)
 
 
@@ -221,25 +248,11 @@ def _labelled(train: DataFrame, encoder: Encoder) -> DataFrame:
 
 
 def _fit_linear(name: str, train: DataFrame, encoder: Encoder, alpha: float, tolerance: float = TOLERANCE) -> PriceModel:
-    rows = _labelled(train, encoder)
-    numbers = F.sum(F.size(F.unwrap_udt("features")["values"]))
-    stats = rows.agg(F.count("*").alias("n"), F.stddev_samp(LABEL).alias("sd"), numbers.alias("numbers")).first()
-    # Every iteration is a job over all partitions, so small ones are merged, without a shuffle.
-    rows = rows.coalesce(1 + stats["numbers"] // NUMBERS_PER_TASK)
-    # The solver divides the label by its deviation and the loss by n; this undoes both, so that the
-    # penalty is alpha times the squared coefficients next to the plain sum of squared errors.
-    penalty = alpha * (stats["sd"] or 0.0) / stats["n"]
-    solver = LinearRegression(
-        featuresCol="features",
-        labelCol=LABEL,
-        regParam=penalty,
-        elasticNetParam=0.0,
-        standardization=alpha == 0,
-        solver="l-bfgs" if alpha else "auto",
-        maxIter=MAX_ITERATIONS,
-        tol=tolerance,
-    )
-    return PriceModel(name, encoder, solver.fit(rows))
+    """Ridge regression, or for `alpha` 0 least squares; an error if the solver does not converge."""
+    encoded = encoder.transform(train).select("features", F.log1p("price").alias(LABEL))
+    rows = blocks.Blocks.of(encoded.hint("rebalance"), len(encoder.feature_names()), LABEL)
+    weights, intercept = blocks.ridge(rows, alpha, tolerance=tolerance) if alpha else blocks.least_squares(rows)
+    return PriceModel(name, encoder, Linear(weights, intercept))
 
 
 def fit_metadata(train: DataFrame) -> PriceModel:
@@ -277,6 +290,8 @@ def fit_lsa_forest(
         featureSubsetStrategy="all",
         maxDepth=depth,
         seed=fixed.SEED,
+        maxMemoryInMB=FOREST_MEMORY_MB,
+        predictionCol="_prediction",
     )
     return PriceModel("LSA + Random Forest", encoder, forest.fit(_labelled(train, encoder)))
 

@@ -2,10 +2,11 @@ import inspect
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed
-from notevalue.operators import blend, features, regress, retrieve
+from notevalue.operators import blend, blocks, features, regress, retrieve
 from notevalue.operators.regress import LABEL
 from notevalue.plans import modelling, retrieval
 from notevalue.sources.vector_table import load_vector_table, save_vector_table
@@ -85,8 +86,8 @@ def test_ridge_matches_the_closed_form(spark):
     x, y = np.stack([v.toArray() for v in rows["features"]]), rows[LABEL].to_numpy()
     centred = x - x.mean(0)
     weights = np.linalg.solve(centred.T @ centred + np.eye(x.shape[1]), centred.T @ (y - y.mean()))
-    assert model.regressor.coefficients.toArray() == pytest.approx(weights, abs=1e-5)
-    assert model.regressor.intercept == pytest.approx(y.mean() - x.mean(0) @ weights, abs=1e-5)
+    assert model.regressor.coefficients.toArray() == pytest.approx(weights, abs=1e-6)
+    assert model.regressor.intercept == pytest.approx(y.mean() - x.mean(0) @ weights, abs=1e-6)
 
 
 def test_the_shipped_ridge_matches_the_closed_form(spark):
@@ -100,6 +101,42 @@ def test_the_shipped_ridge_matches_the_closed_form(spark):
     assert regress.TOLERANCE <= 1e-10
 
 
+def numbers(spark, x, y):
+    rows = [(Vectors.sparse(len(r), [(j, float(v)) for j, v in enumerate(r) if v]) if i % 2 else Vectors.dense(r), float(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    return blocks.Blocks.of(spark.createDataFrame(rows, ["features", "y"]).repartition(3), len(x[0]), "y")
+
+
+def test_singular_values_match_numpy(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "FAN", 2)
+    monkeypatch.setattr(blocks, "CHUNK", 16)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(150, 70)) * 0.8 ** np.arange(70) * (rng.random((150, 70)) < 0.4)
+    values, basis = blocks.top_directions(numbers(spark, x, x[:, 0]), 12)
+    u, s, v = np.linalg.svd(x, full_matrices=False)
+    assert np.sqrt(values) == pytest.approx(s[:12], rel=1e-6)
+    assert abs((basis * v[:12].T).sum(0)) == pytest.approx(np.ones(12), abs=1e-6)
+
+
+def test_least_squares_of_a_deficient_table_has_the_smallest_weights(spark):
+    rng = np.random.default_rng(9)
+    kinds = np.eye(4)[rng.integers(0, 4, 90)]
+    x = np.hstack([kinds, kinds[:, :1] + kinds[:, 1:2], rng.normal(size=(90, 2))])
+    y = x @ rng.normal(size=7) + rng.normal(size=90)
+    weights, intercept = blocks.least_squares(numbers(spark, x, y))
+    expected = np.linalg.lstsq(x - x.mean(0), y - y.mean(), rcond=None)[0]
+    assert weights == pytest.approx(expected, abs=1e-8) and intercept == pytest.approx(y.mean() - x.mean(0) @ expected)
+    with pytest.raises(ValueError, match="Gram"):
+        blocks.least_squares(numbers(spark, x, y), widest=6)
+
+
+def test_a_ridge_that_does_not_converge_is_an_error(spark):
+    rng = np.random.default_rng(10)
+    rows = numbers(spark, rng.normal(size=(80, 40)), rng.normal(size=80))
+    with pytest.raises(RuntimeError, match="after 1 passes"):
+        blocks.ridge(rows, 1.0, rank=2, most=1)
+    assert blocks.ridge(rows, 1.0, rank=2)[0].shape == (40,)
+
+
 def test_the_forest_is_registered_at_full_size(monkeypatch):
     asked = []
 
