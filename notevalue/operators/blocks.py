@@ -155,14 +155,14 @@ def top_directions(blocks: Blocks, k: int, centred: bool = False, passes: int =
     return found
 
 
-def ridge(blocks: Blocks, alpha: float, rank: int = 60, tolerance: float = 1e-10, most: int = 500) -> tuple[np.ndarray, float]:
+def ridge(blocks: Blocks, alpha: float, rank: int = 20, tolerance: float = 1e-10, most: int = 500) -> tuple[np.ndarray, float]:
     """Weights and intercept with the least sum of squared errors plus `alpha` times the squared weights.
 
     Conjugate gradients on the centred columns, one pass each. The largest eigenvalues are divided
     out beforehand by their directions, so the passes depend on the spectrum's tail only. An error
     is raised if the residual is not below `tolerance` times the right side after `most` passes.
     """
-    values, basis = top_directions(blocks, min(rank, blocks.width), centred=True, passes=3)
+    values, basis = top_directions(blocks, min(rank, blocks.width), centred=True, passes=2)
     shrink = (values[-1] + alpha) / (values + alpha) - 1.0
 
     def prepared(x: np.ndarray) -> np.ndarray:

@@ -14,20 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import DenseVector, VectorUDT
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed, price
-from notevalue.operators import blocks
+from notevalue.operators import blocks, forest
 from notevalue.operators.features import PopScaler, RareOneHot, TextVectors, feature_frame, sparse_entries
 from notevalue.session import cut, path_exists
 
 LABEL = "_log_price"
 # The solver's residual against the right side; coefficients then agree with the closed form within 1e-6.
 TOLERANCE = 1e-10
-# Memory that a forest's statistics take in each task: the more, the fewer passes over the rows.
-FOREST_MEMORY_MB = 512
 
 
 @dataclass(frozen=True)
@@ -162,7 +159,7 @@ class PriceModel:
 
     name: str
     encoder: Encoder
-    regressor: Linear | RandomForestRegressionModel
+    regressor: Linear | forest.Forest
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds `guess` in dollars."""
@@ -176,7 +173,7 @@ class PriceModel:
             weights = spark.createDataFrame(list(enumerate(self.regressor.weights.tolist())), "position bigint, weight double")
             weights.write.mode("overwrite").parquet(f"{path}/regressor")
         else:
-            self.regressor.write().overwrite().save(f"{path}/regressor")
+            self.regressor.save(spark, f"{path}/regressor")
         settings = {
             "kind": type(self.regressor).__name__,
             "intercept": self.regressor.intercept if linear else None,
@@ -230,7 +227,7 @@ def load_model(spark: SparkSession, path: str) -> ConstantModel | PriceModel:
         weights = spark.read.parquet(f"{path}/regressor").orderBy("position").collect()
         regressor = Linear(np.array([r["weight"] for r in weights]), settings["intercept"])
     else:
-        regressor = RandomForestRegressionModel.load(f"{path}/regressor")
+        regressor = forest.Forest.load(spark, f"{path}/regressor")
     return PriceModel(settings["name"], Encoder(text, components, onehot, tuple(settings["slots"]), scaler), regressor)
 
 
@@ -280,20 +277,11 @@ def fit_lsa_forest(
     max_features: int = fixed.MAX_FEATURES,
     depth: int = 30,
 ) -> PriceModel:
-    """Compressed notes next to the metadata, in a random forest. Depth is bounded by the library."""
+    """Compressed notes next to the metadata, in a random forest of at most `depth` levels."""
     encoder = Encoder.fit(train, ngrams=1, max_features=max_features, metadata=True, components=components)
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol=LABEL,
-        numTrees=trees,
-        minInstancesPerNode=fixed.MIN_LEAF,
-        featureSubsetStrategy="all",
-        maxDepth=depth,
-        seed=fixed.SEED,
-        maxMemoryInMB=FOREST_MEMORY_MB,
-        predictionCol="_prediction",
-    )
-    return PriceModel("LSA + Random Forest", encoder, forest.fit(_labelled(train, encoder)))
+    rows = encoder.transform(train).select("features", F.log1p("price").alias(LABEL))
+    width = len(encoder.feature_names())
+    return PriceModel("LSA + Random Forest", encoder, forest.fit(rows, width, LABEL, trees, depth, fixed.MIN_LEAF, fixed.SEED))
 
 
 def term_weights(spark: SparkSession, model: PriceModel, k: int = 15) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed
-from notevalue.operators import blend, blocks, features, regress, retrieve
+from notevalue.operators import blend, blocks, features, forest, regress, retrieve
 from notevalue.operators.regress import LABEL
 from notevalue.plans import modelling, retrieval
 from notevalue.sources.vector_table import load_vector_table, save_vector_table
@@ -137,6 +137,36 @@ def test_a_ridge_that_does_not_converge_is_an_error(spark):
     assert blocks.ridge(rows, 1.0, rank=2)[0].shape == (40,)
 
 
+@pytest.mark.parametrize("local_rows", [10_000, 60])
+def test_a_forest_learns_steps_in_both_phases(spark, local_rows):
+    rng = np.random.default_rng(11)
+    x = rng.random((400, 5))
+    y = 3.0 * (x[:, 1] > 0.4) + (x[:, 3] > 0.7)
+    rows = spark.createDataFrame([(Vectors.dense(r), float(t)) for r, t in zip(x, y, strict=True)], ["features", "y"]).repartition(3)
+    model = forest.fit(rows, 5, "y", trees=12, depth=30, least=2, seed=1, local_rows=local_rows)
+    scored = model.transform(rows).select("y", "_prediction").toPandas()
+    assert abs(scored["y"] - scored["_prediction"]).mean() < 0.1 and len(model.roots) == 12
+    assert scored["_prediction"].between(0, 4).all()
+
+
+def test_a_grown_tree_splits_where_the_squared_error_falls_most():
+    rng = np.random.default_rng(12)
+    bins, y, weight = rng.integers(0, 6, (50, 3)).astype(np.uint8), rng.normal(size=50), rng.integers(1, 3, 50).astype(float)
+    tree = forest.grow(bins, y, weight, depth=1, least=2)
+
+    def error(rows):
+        return (weight[rows] * (y[rows] - np.average(y[rows], weights=weight[rows])) ** 2).sum()
+
+    splits = {(f, b): bins[:, f] <= b for f in range(3) for b in range(5)}
+    allowed = {k: error(s) + error(~s) for k, s in splits.items() if min(weight[s].sum(), weight[~s].sum()) >= 2}
+    assert (tree["feature"][0], tree["bin"][0]) == min(allowed, key=allowed.get) and len(tree["value"]) == 3
+
+
+def test_bags_hold_each_row_once_on_average():
+    drawn = np.stack([forest.draws(np.arange(5000), t, 3) for t in range(20)])
+    assert abs(drawn.mean() - 1) < 0.02 and abs(drawn.var() - 1) < 0.04 and abs(np.corrcoef(drawn)[0, 1]) < 0.05
+
+
 def test_the_forest_is_registered_at_full_size(monkeypatch):
     asked = []
 
