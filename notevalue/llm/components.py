@@ -1,6 +1,6 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-Each round is two aggregations and two joins; the edges are written between rounds. A node that
+Each round is two aggregations and two joins; minima and edges are written between them. A node that
 touches a third of all edges is one key: minima combine before the shuffle, and the joins are plain
 equi-joins that adaptive execution splits.
 """
@@ -15,7 +15,8 @@ from notevalue.session import cut
 
 def _star(near: DataFrame, larger_only: bool) -> DataFrame:
     """Hang the neighbours `v` of every `u` on the least node among them and `u`."""
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # Written first: only a join of plain tables is one that adaptive execution splits at a hot node.
+    least = cut(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     hung = near.join(least, "u")
     if larger_only:
         return hung.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

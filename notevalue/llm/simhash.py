@@ -158,8 +158,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     marked = cut(fingerprints(docs, key, text))
     distinct = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(near_edges(distinct.select("fp"), radius))
-    placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Both are written, so that adaptive execution can split a root that very many fingerprints share.
+    placed = cut(distinct.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")))
+    least = cut(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     ids = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.join(ids, "fp").select(key, hexed.alias("fingerprint"), "component_id")

@@ -97,11 +97,15 @@ class Ledger:
         summed.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(self._folder(batch))
         return True
 
+    def _folders(self) -> list[str]:
+        """Folders of the committed batches; one that an attempt left behind unfinished has no mark."""
+        marks = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch-*/_SUCCESS")
+        found = marks.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
+        return [str(mark.getPath().getParent()) for mark in found or []]
+
     def totals(self) -> DataFrame:
         """`source, lang, tokenizer, docs, tokens` over all committed batches, groups without texts left out."""
-        if not path_exists(self.spark, self.path):
-            rows = self.spark.createDataFrame([], SCHEMA)
-        else:
-            rows = self.spark.read.schema(SCHEMA).parquet(f"{self.path}/batch-*")
+        folders = self._folders()
+        rows = self.spark.read.schema(SCHEMA).parquet(*folders) if folders else self.spark.createDataFrame([], SCHEMA)
         rows = rows.groupBy(*GROUP).agg(*[F.sum(c).cast("long").alias(c) for c in SUMS])
         return rows.filter("docs <> 0 OR tokens <> 0")

@@ -9,6 +9,7 @@ its significant segments, and a monotone table fitted on the training texts turn
 
 from __future__ import annotations
 
+import re
 import math
 from collections import Counter
 from dataclasses import dataclass, replace
@@ -40,10 +41,18 @@ BINS = 40
 
 
 def tokens(text: bytes | None) -> list[bytes]:
-    """Words of letters and other non-ASCII characters, lower-cased, at most 40 bytes of each."""
-    return [w[:40] for w in (text or b"").translate(_TABLE).split()]
+    """Whole words of letters and other non-ASCII characters, lower-cased.
+
+    Characters of scripts that are written without spaces, or in syllables, are words by themselves.
+    """
+    plain = (text or b"").translate(_TABLE)
+    words = plain.split()
+    return [part for word in words for part in _PARTS.findall(word)] if _UNSPACED.search(plain) else words
 
 
+# By their first bytes: South and East Asian scripts, not the punctuation and signs that begin with E2.
+_UNSPACED = re.compile(rb"[\xe0\xe1\xe3-\xed\xf0][\x80-\xbf]+")
+_PARTS = re.compile(rb"[\xe0\xe1\xe3-\xed\xf0][\x80-\xbf]+|[^\xe0\xe1\xe3-\xed\xf0]+")
 _TABLE = bytes((b | 32) if chr(b).isalpha() and b < 128 else b if b > 127 else 32 for b in range(256))
 
 
