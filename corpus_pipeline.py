@@ -38,8 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of several rows with that id one stays; a group of null ids only keeps one of its rows.
     """
-    # Numbers tell repeated rows apart; both reads of the stage's table deal them alike.
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    # Numbers tell repeated rows apart. They are written with the rows, so that every later read finds the same.
+    numbered = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("row")
     grouped = simhash.near_duplicates(numbered.select(row, "text"), key="row")
     first = cut(grouped.filter(F.col("row") == F.col("component_id")).select("row._row"))
