@@ -17,7 +17,7 @@ from __future__ import annotations
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain, pairwise, repeat, zip_longest
+from itertools import chain, islice, pairwise, repeat, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -157,10 +157,19 @@ def from_keys(counted: list[tuple[tuple[bytes, ...], int]]) -> Transducer:
 
 
 def _read(table: pa.Table | pa.RecordBatch) -> list[Transducer]:
-    columns = [table.column(c).to_pylist() for c in ("words", "first", "label", "weight", "target")]
+    columns = [_rows(table.column("words"))]
+    columns += [_rows(table.column(c)) for c in ("first", "label", "weight", "target")]
     return [Transducer(*row) for row in zip(*columns, strict=True)]
 
 
+def _rows(column: pa.ChunkedArray | pa.Array) -> Iterator[list]:
+    """The lists of a column; numbers come over in bulk, not one by one."""
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        flat, ends = part.flatten(), np.cumsum([0, *part.value_lengths().to_pylist()]).tolist()
+        values = flat.to_pylist() if pa.types.is_binary(flat.type) else flat.to_numpy().tolist()
+        yield from (values[begin:end] for begin, end in pairwise(ends))
+
+
 def _row(lang: str, cell: int, n: int, one: Transducer) -> dict:
     return {"lang": lang, "cell": cell, "n": n, "words": one.words, "first": one.first, "label": one.label, "weight": one.weight, "target": one.target}
 
@@ -295,11 +304,10 @@ def shard_transducers(docs: DataFrame, orders: tuple[int, ...], bits: int, frequ
         table = shared.value if shared is not None else None
 
         def hand_on() -> Iterator[pa.RecordBatch]:
-            for shard in shards.values():
-                rows = list(shard.rows(orders, table, power))
-                for start in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_pylist(rows[start : start + 64], schema=ARROW)
-            shards.clear()
+            while shards:
+                rows = shards.popitem()[1].rows(orders, table, power)
+                while some := list(islice(rows, 64)):
+                    yield pa.RecordBatch.from_pylist(some, schema=ARROW)
 
         for batch in batches:
             for part in slices(batch, "text"):
