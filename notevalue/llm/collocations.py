@@ -166,10 +166,18 @@ def _rows(column: pa.ChunkedArray | pa.Array) -> Iterator[list]:
     """The lists of a column; numbers come over in bulk, not one by one."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         flat, ends = part.flatten(), np.cumsum([0, *part.value_lengths().to_pylist()]).tolist()
-        values = flat.to_pylist() if pa.types.is_binary(flat.type) else flat.to_numpy().tolist()
+        values = _bytes(flat) if pa.types.is_binary(flat.type) else flat.to_numpy().tolist()
         yield from (values[begin:end] for begin, end in pairwise(ends))
 
 
+def _bytes(flat: pa.BinaryArray) -> list[bytes]:
+    if not len(flat):
+        return []
+    ends = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1].tolist()
+    data = flat.buffers()[2].to_pybytes()
+    return [data[begin:end] for begin, end in pairwise(ends)]
+
+
 def _row(lang: str, cell: int, n: int, one: Transducer) -> dict:
     return {"lang": lang, "cell": cell, "n": n, "words": one.words, "first": one.first, "label": one.label, "weight": one.weight, "target": one.target}
 
