@@ -14,9 +14,11 @@ of fixed size: a false bit costs time, never a wrong count, as the union drops w
 
 from __future__ import annotations
 
+import gc
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain, islice, pairwise, repeat, zip_longest
 
 import numpy as np
@@ -47,6 +49,18 @@ PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abc
 ROWS = "lang string, cell bigint, n bigint, words array<binary>, first array<int>, label array<int>, weight array<bigint>, target array<int>"
 
 
+@contextmanager
+def without_collector() -> Iterator[None]:
+    """Millions of states are built and none refer to each other in a circle, so no search for circles runs meanwhile."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class Transducer:
     """States and their arcs; state 0 has none, the last one is where all sequences start.
 
@@ -95,6 +109,8 @@ class Transducer:
 
         # The start is the last state, even where an equal one is known.
         states.append(arcs_of(0, len(weights), 0) if weights else ())
+        # A function that names itself is a circle, which would keep all states.
+        del arcs_of
         arcs = list(chain.from_iterable(states))
         first = np.cumsum([0, *map(len, states)]).tolist()
         label, weight, target = map(list, zip(*arcs, strict=True)) if arcs else ([], [], [])
@@ -317,15 +333,16 @@ def shard_transducers(docs: DataFrame, orders: tuple[int, ...], bits: int, frequ
                 while some := list(islice(rows, 64)):
                     yield pa.RecordBatch.from_pylist(some, schema=ARROW)
 
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    if lang not in shards:
-                        shards[lang] = Shard(lang, bits)
-                    shards[lang].add(text or b"")
-                if sum(len(shard.ids) for shard in shards.values()) > shard_words:
-                    yield from hand_on()
-        yield from hand_on()
+        with without_collector():
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+                        if lang not in shards:
+                            shards[lang] = Shard(lang, bits)
+                        shards[lang].add(text or b"")
+                    if sum(len(shard.ids) for shard in shards.values()) > shard_words:
+                        yield from hand_on()
+            yield from hand_on()
 
     return docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, ROWS)
 
@@ -336,7 +353,8 @@ def summed(shards: DataFrame, least: int, power: int = BITMAP_POWER) -> DataFram
     def add(table: pa.Table) -> pa.Table:
         lang, cell = table.column("lang")[0].as_py(), table.column("cell")[0].as_py()
         n = sum(table.column("n").to_pylist())
-        counted = list(union(_read(table), least))
+        with without_collector():
+            counted = list(union(_read(table), least))
         longest = max((len(key) for key, _ in counted), default=0)
         grams = [key for key, _ in counted if len(key) == longest]
         bits = places([_hashes([key[k] for key in grams]) for k in range(longest)], lang, power) if grams else np.array([], np.int64)
