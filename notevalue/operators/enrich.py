@@ -20,22 +20,21 @@ class AllowanceSpent(Exception):
     """Raised by a scorer that may answer no more for now; rows already answered are kept."""
 
 
-def _replies(scorer: Scorer, notes: pd.Series, attempt: int) -> list[str | None]:
-    """One reply per note. A batch that fails is asked row by row; rows that fail again have none."""
+def _replies(scorer: Scorer, notes: pd.Series, attempt: int) -> tuple[list[str | None], bool]:
+    """One reply per note, and whether the allowance ended. A batch that raises is asked row by row: replies before
+    the row that ends the allowance are kept, it and later rows have none; other rows that fail again have none."""
     try:
-        return list(scorer(notes, attempt))
-    except AllowanceSpent:
-        raise
+        return list(scorer(notes, attempt)), False
     except Exception:
         found: list[str | None] = []
         for i in range(len(notes)):
             try:
                 found.append(scorer(notes.iloc[i : i + 1], attempt).iloc[0])
             except AllowanceSpent:
-                raise
+                return found + [None] * (len(notes) - i), True
             except Exception:
                 found.append(None)
-        return found
+        return found, False
 
 
 def pending(df: DataFrame, cache: DataFrame, limit: int | None = None) -> DataFrame:
@@ -57,30 +56,33 @@ def validate_replies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, read.filter(F.col("tasting").isNull()).select("id", "reply")
 
 
+def _asked(rows: DataFrame, scorer: Scorer, attempt: int, workers: int | None) -> DataFrame:
+    """`rows` with `reply` and `spent`: whether the allowance had ended when the row's batch was through."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        spent = False
+        for batch in batches:
+            reply: list[str | None] = [None] * len(batch)
+            if len(batch) and not spent:
+                reply, spent = _replies(scorer, batch["description"], attempt)
+            yield batch.assign(reply=pd.Series(reply, index=batch.index, dtype="object"), spent=spent)
+
+    spread = rows.select("id", "description").repartition(workers, "id") if workers else rows.select("id", "description")
+    return spread.mapInPandas(ask, "id bigint, description string, reply string, spent boolean")
+
+
 def enrich(todo: DataFrame, scorer: Scorer, attempts: int = fixed.ATTEMPTS, workers: int | None = None) -> tuple[DataFrame, DataFrame]:
     """`(id, tasting)` of answered rows, and the ids that stay pending after `attempts` tries.
 
     Every try is written to reliable storage, so a lost executor repeats its own rows only and no
     answered row is scored twice. `workers` bounds how many batches are scored at once. Rows whose
-    scorer raises stay pending. `AllowanceSpent` ends a task's pass at its batch and starts no other try.
+    scorer raises stay pending. `AllowanceSpent` ends a task's pass at the row that raises it, keeps
+    what was answered before, and starts no other try.
     """
     rows = todo.select("id", "description")
     done: DataFrame | None = None
     for attempt in range(1, attempts + 1):
-
-        def ask(batches: Iterator[pd.DataFrame], attempt: int = attempt) -> Iterator[pd.DataFrame]:
-            spent = False
-            for batch in batches:
-                reply: list[str | None] = [None] * len(batch)
-                if len(batch) and not spent:
-                    try:
-                        reply = _replies(scorer, batch["description"], attempt)
-                    except AllowanceSpent:
-                        spent = True
-                yield batch.assign(reply=pd.Series(reply, index=batch.index, dtype="object"), spent=spent)
-
-        spread = rows.repartition(workers, "id") if workers else rows
-        asked = with_reading(spread.mapInPandas(ask, "id bigint, description string, reply string, spent boolean")).drop("reply")
+        asked = with_reading(_asked(rows, scorer, attempt, workers)).drop("reply")
         # Only a note that is asked about again is written again.
         answered = cut(asked.withColumn("description", F.when(F.col("tasting").isNull(), F.col("description"))))
         good = answered.filter(F.col("tasting").isNotNull()).select("id", "tasting")
@@ -91,6 +93,35 @@ def enrich(todo: DataFrame, scorer: Scorer, attempts: int = fixed.ATTEMPTS, work
     return done, rows.select("id")
 
 
+def enrich_within(
+    todo: DataFrame, scorer: Scorer, allowance: int, passes: int = fixed.ATTEMPTS, workers: int | None = None
+) -> tuple[DataFrame, DataFrame, int]:
+    """`enrich` for at most `allowance` tokens in all, however many tasks ask: `(done, left, tokens spent)`.
+
+    Before a pass, rows are granted their highest cost in the order of their unique `id`, as far as the
+    allowance goes, and only granted rows are asked, once. What short replies leave unused returns and
+    pays for the next pass, which takes failed rows again and goes on to new ones. A row without a
+    reply counts with its whole cost, as nobody knows what it used. A null note costs its reply only.
+    """
+    rows, remaining = todo.select("id", F.coalesce("description", F.lit("")).alias("description")), allowance
+    done = todo.sparkSession.createDataFrame([], "id bigint").withColumn("tasting", replies.tasting(F.try_parse_json(F.lit(None).cast("string"))))
+    for attempt in range(1, passes + 1):
+        granted = cut(budget_prefix(rows, remaining).select("id", "description"))
+        if granted.isEmpty():
+            break
+        highest = token_cost(F.length("description"))
+        used = F.floor(F.length("description") / 4) + F.ceil(F.length("reply") / 4)
+        priced = _asked(granted, scorer, attempt, workers).withColumn("used", F.coalesce(F.least(used, highest), highest).cast("bigint"))
+        answered = cut(with_reading(priced).select("id", "tasting", "used", "spent"))
+        good = answered.filter(F.col("tasting").isNotNull()).select("id", "tasting")
+        done = done.unionByName(good)
+        remaining -= answered.agg(F.sum("used")).first()[0]
+        rows = cut(rows.join(good.select("id"), "id", "left_anti"))
+        if not answered.filter("spent").isEmpty():
+            break
+    return done, rows.select("id"), allowance - remaining
+
+
 def attach(df: DataFrame, cache: DataFrame) -> DataFrame:
     """Sets `summary` to the cached reading as text; rows without one keep their old value."""
     texts = cache.select("id", replies.tasting_text(F.col("tasting")).alias("_text"))

@@ -76,8 +76,8 @@ def with_ranges(df: DataFrame, order: str) -> DataFrame:
     """Adds `_bucket`, one of about `RANGES` value ranges with roughly equal row counts."""
     shares = [step / RANGES for step in range(1, RANGES)]
     approximate = F.percentile_approx(F.col(order).cast("double"), shares, 10 * RANGES)
-    # The driver receives RANGES numbers.
-    cuts = sorted(set(df.agg(approximate.alias("cuts")).first()["cuts"] or []))
+    # The driver receives RANGES numbers; none without rows, where any cut will do.
+    cuts = sorted(set(df.agg(approximate.alias("cuts")).first()["cuts"] or [0.0]))
     splits = [float("-inf"), *cuts, float("inf")]
     ranged = df.withColumn("_value", F.col(order).cast("double"))
     return Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket").transform(ranged).drop("_value")

@@ -31,7 +31,7 @@ FOUND = "q bigint, id bigint, dist double"
 # --- inside one task ------------------------------------------------------------------------------
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
+def matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
@@ -94,14 +94,14 @@ def _knn_broadcast(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     local = queries.toPandas()
     if local.empty:
         return corpus.sparkSession.createDataFrame([], "q bigint, rank bigint, id bigint, dist double")
-    shared = corpus.sparkSession.sparkContext.broadcast((local["q"].to_numpy(), _matrix(local["embedding"])))
+    shared = corpus.sparkSession.sparkContext.broadcast((local["q"].to_numpy(), matrix(local["embedding"])))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, vectors = shared.value
         best = None
         for batch in batches:
             if len(batch):
-                here = _nearest(vectors, batch["id"].to_numpy(), _matrix(batch["embedding"]), k)
+                here = _nearest(vectors, batch["id"].to_numpy(), matrix(batch["embedding"]), k)
                 best = here if best is None else _merge(best, here, k)
         if best is not None:
             yield _as_rows(keys, *best)
@@ -121,7 +121,7 @@ def _knn_cells(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, block
     chosen = corpus.orderBy(text.shuffle_key(fixed.SEED, F.col("id")), "id").limit(pivots).select("embedding").toPandas()
     if chosen.empty:
         return corpus.sparkSession.createDataFrame([], "q bigint, rank bigint, id bigint, dist double")
-    centres = context.broadcast(_matrix(chosen["embedding"]))
+    centres = context.broadcast(matrix(chosen["embedding"]))
 
     def to_centres(vectors: np.ndarray) -> np.ndarray:
         c = centres.value
@@ -129,7 +129,7 @@ def _knn_cells(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, block
 
     @F.pandas_udf("cell int, radius double")
     def locate(embedding: pd.Series) -> pd.DataFrame:
-        away = to_centres(_matrix(embedding))
+        away = to_centres(matrix(embedding))
         cell = away.argmin(1)
         return pd.DataFrame({"cell": cell, "radius": away[np.arange(len(cell)), cell]})
 
@@ -150,7 +150,7 @@ def _knn_cells(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, block
         near, first, last = bounds.value
         lists = []
         for start in range(0, len(embedding), CHUNK):
-            away = to_centres(_matrix(embedding.iloc[start : start + CHUNK]))
+            away = to_centres(matrix(embedding.iloc[start : start + CHUNK]))
             reach = (away[:, :, None] + near[None, :, :]).reshape(len(away), -1)
             limit = np.partition(reach, k - 1, axis=1)[:, k - 1] if reach.shape[1] >= k else np.full(len(away), np.inf)
             # The margin covers the rounding of the distances themselves.
@@ -159,6 +159,14 @@ def _knn_cells(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, block
         return pd.Series(lists, index=embedding.index)
 
     visitors = cut(queries.select("q", "embedding", F.explode(visits("embedding")).alias("cell")))
+    return compare_cells(located, visitors, k, block_rows)
+
+
+def compare_cells(located: DataFrame, visitors: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """The k nearest rows of every query among the cells it visits.
+
+    `located` has `cell`, `id` and `embedding`, `visitors` has `cell`, `q` and `embedding`, once per visited cell.
+    """
     # One row per cell: how many blocks either side is split into.
     sizes = located.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("row_blocks")).join(
         visitors.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("query_blocks")), "cell"
@@ -176,7 +184,7 @@ def _knn_cells(queries: DataFrame, corpus: DataFrame, k: int, pivots: int, block
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"q": [], "id": [], "dist": []})
-        best = _nearest(_matrix(left["wanted"]), right["id"].to_numpy(), _matrix(right["embedding"]), k)
+        best = _nearest(matrix(left["wanted"]), right["id"].to_numpy(), matrix(right["embedding"]), k)
         return _as_rows(left["q"].to_numpy(), *best)
 
     whole = [F.col(key).cast("bigint").alias(key) for key in keys]

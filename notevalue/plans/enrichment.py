@@ -105,6 +105,13 @@ def e3_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered.unionByName(left)
 
 
+def e3_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass over the documents within a day's allowance: which were answered, which wait, and that the allowance held."""
+    done, left, spent = enrich.enrich_within(_notes(spark, sf_dir), _reader, fixed.DAILY_TOKENS, passes=1)
+    both = done.select("id", F.lit("done").alias("status")).unionByName(left.select("id", F.lit("left").alias("status")))
+    return both.withColumn("within", F.lit(spent <= fixed.DAILY_TOKENS))
+
+
 def e3_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of limited size and a third over the rest, all into one cache."""
     path = work_path(spark, "resumed")
@@ -163,7 +170,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         e2_valid_replies, e2_invalid_replies, s3_load_cache, s4_append_results, e1_pending, e1_pending_first, e3_enrich,
-        e3_resume, e4_attach, e4_coverage, e4_rendering, e5_budget_prefix, t2_stream_enrich,
+        e3_stop, e3_resume, e4_attach, e4_coverage, e4_rendering, e5_budget_prefix, t2_stream_enrich,
     )
 }
 
@@ -214,6 +221,9 @@ WITH {_SCORED}
 SELECT id, CASE WHEN fruit < 4 THEN 'done' ELSE 'failed' END AS status, CASE WHEN fruit < 4 THEN fruit END AS fruit,
        CASE WHEN fruit < 4 THEN oak END AS oak, CASE WHEN fruit < 4 THEN age_worthy END AS age_worthy,
        CASE WHEN fruit < 4 THEN summary END AS summary FROM scored""",
+    "e3_stop": f"""
+WITH costs AS (SELECT doc_id AS id, length(text) AS n, sum(length(text) // 4 + {fixed.REPLY_TOKENS}) OVER (ORDER BY doc_id) AS spent FROM documents)
+SELECT id, CASE WHEN spent <= {fixed.DAILY_TOKENS} AND n % 7 <> 0 AND n % 5 < 4 THEN 'done' ELSE 'left' END AS status, true AS within FROM costs""",
     "e3_resume": _ANSWERED,
     "t2_stream_enrich": _ANSWERED,
     "e4_attach": f"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed
-from notevalue.operators import blend, evaluate, retrieve
+from notevalue.operators import blend, evaluate, inverted_file, retrieve
 from notevalue.operators.ordering import first_rows
 from notevalue.operators.regress import fit_constant
 from notevalue.plans import sql
@@ -71,6 +71,16 @@ def r1_knn_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_pairs_search(spark, sf_dir, broadcast_bytes=0, pivots=16, block_rows=200)
 
 
+def r1_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding looked up through an inverted file, and whether that finds 19 of 20 of the exact neighbours."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    queries = vectors.withColumnRenamed("id", "q")
+    index = inverted_file.build(vectors, work_path(spark, "inverted"))
+    found = inverted_file.search(queries, index, 5, inverted_file.probes_for(index, queries, 5))
+    measured = inverted_file.recall(found, retrieve.knn(queries, vectors, 5))
+    return measured.select("links", (F.col("recall") >= 0.95).alias("recall_holds"))
+
+
 def r2_neighbour_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, corpus, queries = _world(spark, sf_dir)
     found = retrieve.knn(queries, corpus, fixed.PRICE_K)
@@ -136,8 +146,8 @@ def b4_comparables(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        s7_vector_table, s7_missing_vectors, r1_knn, r1_knn_cells, r2_neighbour_price, r3_context, r4_embedding_sample, r4_top_varieties,
-        r5_retrieval_audit, b1_blend_features, b2_fit_blend, b3_blend_predict, b4_estimates, b4_comparables,
+        s7_vector_table, s7_missing_vectors, r1_knn, r1_knn_cells, r1_recall, r2_neighbour_price, r3_context, r4_embedding_sample,
+        r4_top_varieties, r5_retrieval_audit, b1_blend_features, b2_fit_blend, b3_blend_predict, b4_estimates, b4_comparables,
     )
 }
 
@@ -168,8 +178,14 @@ ORACLES = {
 WITH {_WORLD}
 SELECT id, document, price, variety, country, vintage,
        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS embedding_sum FROM corpus""",
+    "s7_missing_vectors": f"""
+WITH {sql.CURATED},
+missing AS (SELECT id, split FROM curated c
+            WHERE NOT EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = c.ordinal AND e.embedding IS NOT NULL))
+SELECT id, split, count(*) OVER (PARTITION BY split) AS n_missing FROM missing""",
     "r1_knn": _SEARCH,
     "r1_knn_cells": _SEARCH,
+    "r1_recall": "SELECT count(*) * least(5, count(*)) AS links, true AS recall_holds FROM embeddings",
     "r2_neighbour_price": f"WITH {_WORLD} SELECT q, round(exp(avg(ln(1 + price))) - 1, 6) AS guess FROM ranked WHERE rank <= 8 GROUP BY q",
     "r3_context": f"""
 WITH {_WORLD}, contexts AS (

@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed
-from notevalue.operators import blend, blocks, features, forest, regress, retrieve
+from notevalue.operators import blend, blocks, features, forest, inverted_file, regress, retrieve
 from notevalue.operators.regress import LABEL
 from notevalue.plans import modelling, retrieval
 from notevalue.sources.vector_table import load_vector_table, save_vector_table
@@ -246,6 +246,36 @@ def test_search_is_exact_on_both_paths(spark, options, shape):
     assert got == brute(queries, rows, 7)
 
 
+@pytest.mark.parametrize("shape", ["spread", "copies"])
+def test_an_inverted_file_is_exact_when_all_files_are_asked(spark, tmp_path, shape):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(300, 4)).astype(np.float32)
+    if shape == "copies":
+        data[::3] = data[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    queries = [(1000 + i, v.tolist()) for i, v in enumerate(np.vstack([data[:10], rng.normal(size=(20, 4)).astype(np.float32)]))]
+    corpus = spark.createDataFrame([*rows, (999, None)], "id bigint, embedding array<float>")
+    asked = spark.createDataFrame([*queries, (5, None)], "q bigint, embedding array<float>")
+    index = inverted_file.build(corpus, str(tmp_path / "index"))
+    assert sorted(r["id"] for r in index.rows.collect()) == list(range(300)) and len(index.centres) <= 17
+    found = inverted_file.search(asked, index, 7, len(index.centres), block_rows=20)
+    got = {}
+    for r in found.orderBy("q", "rank").collect():
+        got.setdefault(r["q"], []).append(r["id"])
+    assert got == brute(queries, rows, 7)
+    probes = inverted_file.probes_for(index, asked, 7)
+    some = inverted_file.search(asked, index, 7, probes)
+    measured = inverted_file.recall(some, found).first()
+    assert 1 <= probes <= len(index.centres) and measured["links"] == 210 and measured["recall"] >= 0.95
+
+
+def test_an_inverted_file_without_rows_answers_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "id bigint, embedding array<float>")
+    asked = spark.createDataFrame([(1, [0.0, 1.0])], "q bigint, embedding array<float>")
+    index = inverted_file.build(none, str(tmp_path / "index"))
+    assert inverted_file.probes_for(index, asked, 3) == 0 and inverted_file.search(asked, index, 3, 2).count() == 0
+
+
 def test_search_returns_fewer_when_the_corpus_is_small(spark):
     rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "id bigint, embedding array<double>")
     asked = spark.createDataFrame([(9, [0.9, 0.0])], "q bigint, embedding array<double>")

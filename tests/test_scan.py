@@ -227,3 +227,31 @@ def test_a_scorer_that_raises_leaves_its_rows_pending(spark):
         rows = spark.createDataFrame([(i, word if i == 3 else "plain") for i in range(6)], "id bigint, description string")
         done, failed = enrich.enrich(rows, scorer, attempts=2)
         assert done.count() == 0 and sorted(r["id"] for r in failed.collect()) == list(range(6))
+
+
+def test_answers_before_a_spent_allowance_are_kept(spark):
+    def until_spent(notes, attempt):
+        if notes.str.contains("spent").any():
+            raise enrich.AllowanceSpent
+        return scorer(notes, attempt)
+
+    rows = spark.createDataFrame([(i, "spent" if i == 3 else f"a{i}") for i in range(6)], "id bigint, description string")
+    done, left = enrich.enrich(rows.coalesce(1), until_spent)
+    assert sorted(r["id"] for r in done.collect()) == [0, 1, 2] and sorted(r["id"] for r in left.collect()) == [3, 4, 5]
+
+
+def test_an_allowance_holds_across_tasks_and_its_rest_returns(spark):
+    rows = spark.createDataFrame([(i, f"{'abc'[i % 3]}{i:03}") for i in range(120)], "id bigint, description string")
+    # A grant is 301 tokens, an answer uses far fewer: the first pass may ask 33 rows, later ones more.
+    first, left, spent = enrich.enrich_within(rows, scorer, 10_000, passes=1, workers=50)
+    assert sorted(r["id"] for r in first.collect()) == list(range(0, 33, 3)) and left.count() == 109 and spent <= 10_000
+    done, left, spent = enrich.enrich_within(rows, scorer, 10_000, passes=3, workers=50)
+    ids, rest = [r["id"] for r in done.collect()], [r["id"] for r in left.collect()]
+    assert len(ids) > 11 and spent <= 10_000 and sorted(ids + rest) == list(range(120))
+
+
+def test_an_allowance_of_nothing_asks_nobody(spark):
+    rows = spark.createDataFrame([(1, "a1"), (2, None)], "id bigint, description string")
+    done, left, spent = enrich.enrich_within(rows, scorer, 0)
+    assert done.count() == 0 and left.count() == 2 and spent == 0
+    assert enrich.enrich_within(rows.limit(0), scorer, 1_000)[2] == 0
