@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from notevalue.functions import fixed, price, text
 from notevalue.operators.ordering import smallest_per_group, with_position
@@ -40,7 +41,9 @@ def parse_reviews(
     min_chars: int = fixed.MIN_CHARS,
 ) -> DataFrame:
     """Usable reviews as records: cleaned text, derived vintage and the composed full text."""
-    # The price test comes first and alone, so it can reach the file scan.
+    # A plain number is compared as it stands, so the test reaches the file scan; NaN is above any bound.
+    if isinstance(raw.schema["price"].dataType, DoubleType):
+        raw = raw.filter(F.col("price").between(min_price, max_price))
     priced = raw.filter(F.col("price").isNotNull()).withColumn("price", _raw_price())
     priced = priced.filter(F.col("price").between(min_price, max_price))
     noted = text.settle(priced, "description", text.clean(F.col("description")))

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from notevalue.functions import text
 from notevalue.functions.price import price_bin
-from notevalue.operators import curate
+from notevalue.operators import curate, quantiles
 from notevalue.operators.ordering import first_rows, running_total
 from notevalue.operators.quantiles import exact_quantiles
+from notevalue.session import cut
 from notevalue.sources.raw import load_raw
 from notevalue.sources.splits import load_split, save_splits
 from rows import NOTE, priced, raw
@@ -166,6 +167,36 @@ def test_quantiles_match_numpy(spark, values):
     assert got["b"]["m"] == 1.0
 
 
+@pytest.mark.parametrize("options", [{}, {"sketch": 8, "spread": 0.001}, {"sketch": 64, "spread": 0.3}])
+def test_quantiles_are_exact_whatever_the_sketch_says(spark, options):
+    values = np.random.default_rng(5).lognormal(3, 1, 20_000)
+    values[::3] = 20.0
+    rows = spark.createDataFrame([(None if i % 2 else "a", float(v)) for i, v in enumerate(values)], "g string, v double").repartition(7)
+    shares = {"m": 0.5, "p": 0.99, "lo": 0.0, "hi": 1.0}
+    got = {r["g"]: r[1:] for r in exact_quantiles(rows, F.col("v"), shares, ["g"], **options).collect()}
+    assert got["a"] == pytest.approx(tuple(np.percentile(values[::2], [50, 99, 0, 100])), rel=1e-12)
+    assert got[None] == pytest.approx(tuple(np.percentile(values[1::2], [50, 99, 0, 100])), rel=1e-12)
+    [one] = exact_quantiles(rows, F.col("v"), shares, **options).collect()
+    assert one[:] == pytest.approx(tuple(np.percentile(values, [50, 99, 0, 100])), rel=1e-12)
+    assert exact_quantiles(rows.filter("false"), F.col("v"), shares, **options).count() == 0
+
+
+def test_quantiles_shuffle_only_what_lies_in_a_bracket(spark):
+    rows = spark.range(50_000).select(F.col("id").cast("double").alias("v")).repartition(3)
+    seen = []
+
+    def counted(df):
+        seen.append(cut(df))
+        return seen[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quantiles, "cut", counted)
+        assert exact_quantiles(rows, F.col("v"), {"m": 0.5}).first()["m"] == 24_999.5
+    brackets, inside = seen
+    assert brackets.count() == 1 and inside.filter("_value IS NULL").count() == 1
+    assert inside.count() < 0.02 * 50_000
+
+
 def test_running_totals_and_first_rows(spark):
     rows = spark.createDataFrame([(i * i, 1 + i % 3) for i in range(500)], "id bigint, cost bigint").repartition(5)
     got = running_total(rows, "id", "cost", "spent").orderBy("id").toPandas()
