@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from notevalue.functions import fixed, price, replies, text
 from notevalue.operators.evaluate import Predictor
 from notevalue.session import cut
-from notevalue.sources.seen import listing_key, load_seen, write_seen
+from notevalue.sources.seen import listing_key, seen_keys, write_seen
 
 # A reader adds `reply`, the JSON a model returned for the article in `text`.
 Reader = Callable[[DataFrame], DataFrame]
@@ -164,14 +164,23 @@ def unseen(found: DataFrame, seen: DataFrame) -> DataFrame:
     return found.withColumn("key", listing_key()).join(seen.select("key"), "key", "left_anti")
 
 
-def opportunities(found: DataFrame, estimator: Predictor) -> DataFrame:
-    """Listings with `estimate` and `discount`, the largest gap first.
+def judge(found: DataFrame, estimator: Predictor) -> DataFrame:
+    """Listings with `estimate` and `discount`, in no order.
 
     `estimator` adds `guess` to rows that have the note as `description`; it sees nothing else that a
     caller with bare prose would not have.
     """
     priced = estimator(found.withColumn("description", F.col("note"))).withColumnRenamed("guess", "estimate").drop("description")
-    return priced.withColumn("discount", F.col("estimate") - F.col("price")).orderBy(F.desc("discount"), "key", "price")
+    return priced.withColumn("discount", F.col("estimate") - F.col("price"))
+
+
+def by_gap(judged: DataFrame) -> DataFrame:
+    return judged.orderBy(F.desc("discount"), "key", "price")
+
+
+def opportunities(found: DataFrame, estimator: Predictor) -> DataFrame:
+    """Judged listings, the largest gap first."""
+    return by_gap(judge(found, estimator))
 
 
 def alerts(found: DataFrame, threshold: float = fixed.THRESHOLD) -> DataFrame:
@@ -187,10 +196,14 @@ def alerts(found: DataFrame, threshold: float = fixed.THRESHOLD) -> DataFrame:
 # --- runs -----------------------------------------------------------------------------------------
 
 
-def scan(articles: DataFrame, reader: Reader, k: int = 3) -> DataFrame:
-    """Listings of the newest articles of every feed, as a reader structures them."""
+def scan(articles: DataFrame, reader: Reader, k: int = 3, fetch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Listings of the newest articles of every feed, as a reader structures them.
+
+    `fetch` adds `body`, such as `page_text`; it is called for the newest articles only.
+    """
+    newest = per_feed(articles, k)
     # The reader may be costly; its replies are written once.
-    answers = cut(reader(article_text(per_feed(articles, k))).select(F.col("url").alias("article_url"), "reply"))
+    answers = cut(reader(article_text(fetch(newest) if fetch else newest)).select(F.col("url").alias("article_url"), "reply"))
     return listings(answers)[0]
 
 
@@ -198,10 +211,11 @@ def plan(spark: SparkSession, found: DataFrame, estimator: Predictor, seen_path:
     """One run: judge the unseen listings, store the opportunities, remember their keys.
 
     Both tables get one directory per run and the run ignores its own, so repeating it after a crash
-    changes nothing.
+    changes nothing. Of the remembered keys only the buckets that the listings fall into are read.
     """
-    fresh = unseen(in_range(found), load_seen(spark, seen_path, before=run))
-    opportunities(fresh, estimator).write.mode("overwrite").parquet(f"{out_path}/run={run}")
+    asked = in_range(found)
+    keys = asked.select(listing_key().alias("key"))
+    judge(unseen(asked, seen_keys(spark, seen_path, run, keys)), estimator).write.mode("overwrite").parquet(f"{out_path}/run={run}")
     stored = spark.read.parquet(f"{out_path}/run={run}")
     write_seen(stored, seen_path, run)
-    return stored.orderBy(F.desc("discount"), "key", "price")
+    return by_gap(stored)

@@ -143,13 +143,13 @@ def l9_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def l9_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles of every feed read by a stand-in reader, down to listings."""
-    pages = scan.page_text(view(spark, sf_dir, ARTICLES)).withColumn("summary", F.lit(""))
+    pages = view(spark, sf_dir, ARTICLES).withColumn("summary", F.lit(""))
 
     def reader(articles: DataFrame) -> DataFrame:
         wine = F.struct(F.col("title").alias("name"), F.col("text").alias("note"), F.length("text").alias("price"))
         return articles.withColumn("reply", F.to_json(F.struct(F.array(wine).alias("wines"))))
 
-    return scan.scan(pages, reader, PER_FEED).select("name", "price", "url", F.md5("note").alias("note_digest"))
+    return scan.scan(pages, reader, PER_FEED, scan.page_text).select("name", "price", "url", F.md5("note").alias("note_digest"))
 
 
 def t1_stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from notevalue.operators import enrich, scan
 from notevalue.sources.cache import append_results, load_cache
+from notevalue.sources import seen as seen_table
 from notevalue.sources.seen import load_seen, remember, write_seen
 from notevalue.streaming.enrich_stream import stream_enrich
 from notevalue.streaming.plan_stream import LISTING_SCHEMA, stream_plan
@@ -181,6 +182,35 @@ def test_keys_are_remembered_as_a_set(spark, tmp_path):
     assert sorted(r["key"] for r in remember(load_seen(spark, str(tmp_path / "s")), key("c", "d")).collect()) == ["a", "b", "c", "d"]
 
 
+def test_runs_are_folded_and_a_crash_between_changes_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen_table, "FOLD", 2)
+    root = str(tmp_path / "s")
+    key = lambda *names: spark.createDataFrame([(n,) for n in names], "key string").coalesce(1)
+    keys_of = lambda **options: sorted(r["key"] for r in load_seen(spark, root, **options).collect())
+    write_seen(key("a", "z"), root, 0)
+    write_seen(key("b", "z"), root, 1)
+    with monkeypatch.context() as lost:
+        lost.setattr(seen_table, "_remove_folded", lambda *_: None)
+        write_seen(key("c"), root, 2)
+    # The folded segments are still there, and are not read.
+    assert seen_table.complete_segments(spark, root) == [(0, 0), (0, 1), (0, 2), (1, 1)]
+    assert seen_table.live_segments(spark, root) == [(0, 2), (1, 1)]
+    assert keys_of() == ["a", "b", "c", "z"] and keys_of(before=1) == ["a", "z"] and keys_of(before=2) == ["a", "b", "z"]
+    write_seen(key("c"), root, 2)
+    assert seen_table.complete_segments(spark, root) == [(0, 2), (1, 1)]
+    for run in (3, 4):
+        write_seen(key(f"k{run}"), root, run)
+    # Two of level 1 became one of level 2; without its mark it would not count, and the older ones would.
+    assert seen_table.live_segments(spark, root) == [(0, 4), (2, 3)]
+    assert keys_of() == ["a", "b", "c", "k3", "k4", "z"]
+    with pytest.raises(ValueError, match="folded"):
+        write_seen(key("late"), root, 3)
+    some = seen_table.seen_keys(spark, root, among=key("b"))
+    assert {"b", "k4"} <= {r["key"] for r in some.collect()} and "PartitionFilters: [bucket" in some._jdf.queryExecution().toString()
+    (tmp_path / "s" / "level=2" / "upto=3" / "_SUCCESS").unlink()
+    assert keys_of() == ["k4"]
+
+
 def test_the_stream_reports_what_the_batch_reports_and_survives_a_crash(spark, tmp_path):
     source, seen, out, checkpoint = (str(tmp_path / name) for name in ("in", "seen", "out", "check"))
     found(spark, ("a", 30), ("b", 40)).coalesce(1).write.mode("append").json(source)
