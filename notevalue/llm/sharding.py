@@ -103,9 +103,13 @@ def shuffle(rows: DataFrame, key: list[str], shards: int = 8, blocks: int = BLOC
 
     Shards differ by at most one row. The order depends on the `key` columns and the seed, not on
     how rows lie in files; rows with equal keys are told apart arbitrarily. Nulls in a key are values
-    like others. Columns named shard or slot are replaced. No rows give no rows.
+    like others. Columns named shard or slot are replaced, unless they are keys; any other name may occur.
+    No rows give no rows.
     """
-    rows = rows.drop("shard", "slot")
+    names = [name for name in rows.columns if name not in ("shard", "slot")]
+    # The rows travel as one column, whose fields cannot clash with the working columns.
+    rows = rows.select(F.struct(*names).alias("_row"), *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
+    key = [f"_key_{i}" for i in range(len(key))]
     block = F.pmod(F.xxhash64(F.lit(SEED), F.lit("block"), *key), F.lit(blocks)).cast("int")
     first, second = F.xxhash64(F.lit(SEED), F.lit("first"), *key), F.xxhash64(F.lit(SEED), F.lit("second"), *key)
     placed = rows.withColumns({"_block": block, "_first": first})
@@ -114,7 +118,7 @@ def shuffle(rows: DataFrame, key: list[str], shards: int = 8, blocks: int = BLOC
     ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("_block").orderBy("_first", *key)))
     sent = ranked.join(F.broadcast(matrix), F.col("_block") == F.col("block"))
     shard = F.size(F.filter("ends", lambda e: e < F.col("_rank"))).cast("int")
-    sent = sent.select(*rows.columns, shard.alias("shard"), second.alias("_second"))
+    sent = sent.select("_row", *key, shard.alias("shard"), second.alias("_second"))
     # The second permutation: a part holds one range of the random order, so parts follow each other.
     part = F.floor((F.col("_second") / F.lit(2.0**64) + 0.5) * parts).cast("int")
     sent = cut(sent.withColumn("_part", F.least(part, F.lit(parts - 1))))
@@ -123,4 +127,4 @@ def shuffle(rows: DataFrame, key: list[str], shards: int = 8, blocks: int = BLOC
     offsets = counts.select(F.col("shard").alias("s"), F.col("_part").alias("p"), before.alias("before"))
     rank = F.row_number().over(Window.partitionBy("shard", "_part").orderBy("_second", *key))
     numbered = sent.withColumn("_rank", rank).join(F.broadcast(offsets), (F.col("shard") == F.col("s")) & (F.col("_part") == F.col("p")))
-    return numbered.select(*rows.columns, "shard", (F.col("before") + F.col("_rank") - 1).alias("slot"))
+    return numbered.select("_row.*", "shard", (F.col("before") + F.col("_rank") - 1).alias("slot"))

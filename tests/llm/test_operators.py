@@ -100,6 +100,11 @@ def test_shards(spark, small, documents, odd, none):
     slots = [sorted(r["slot"] for r in rows if r["shard"] == k) for k in range(8)]
     assert all(s == list(range(len(s))) for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
     assert sharding.shuffle(odd, ["doc_id"]).count() == odd.count() and sharding.shuffle(none, ["doc_id"]).count() == 0
+    own = ("block", "ends", "s", "p", "before", "n", "_block", "_first", "_rank", "_part", "_second", "_row", "_key_0", "shard", "slot")
+    clash = odd.select("doc_id", *[F.lit(i).alias(name) for i, name in enumerate(own)])
+    got = sharding.shuffle(clash, ["doc_id"])
+    assert got.columns == ["doc_id", *own] and got.count() == odd.count()
+    assert got.first()[1:14] == tuple(range(13)) and sorted(r["slot"] for r in got.filter("shard = 0").collect())[0] == 0
 
 
 def test_hypergeometric_draws_follow_the_law(spark):
