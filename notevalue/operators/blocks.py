@@ -1,8 +1,9 @@
 """Linear algebra on a table of sparse rows: X'(XV) in one pass, and what can be had from it.
 
-The rows are written once as blocks of compressed sparse rows. A pass sends V to the tasks, each
-task adds up its blocks' share, and the shares are added in a tree, `FAN` at a time. The driver
-holds only matrices of as many rows as there are columns in X.
+The rows are written once, as positions and values in binary columns, which Arrow batches hand over
+without a Python object per number. A pass sends V to the tasks, each task adds up its rows' share,
+and the shares are added in a tree, `FAN` at a time, down to one. The driver holds only matrices of
+as many rows as there are columns in X, and receives one per pass.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from notevalue.session import cut
 # Shares that one task of the tree adds up, and columns of X per row of a share.
 FAN = 16
 CHUNK = 4096
+# Rows of a batch that are worked on at once.
+ROWS = 1024
 # Directions a sketch takes beyond those that are asked for, and the passes that refine it.
 EXTRA = 20
 PASSES = 4
@@ -41,6 +44,26 @@ def entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.append(0, counts[ends]), index[stored].astype(np.int32), flat[stored]
 
 
+def pieces(vectors: pa.Array) -> Iterator[pa.Array]:
+    """`vectors` in turn, ROWS at a time, so that what is derived from them stays small."""
+    return (vectors.slice(start, ROWS) for start in range(0, len(vectors), ROWS))
+
+
+def _packed(ends: np.ndarray, numbers: np.ndarray) -> pa.Array:
+    """The numbers of each row as bytes."""
+    offsets = (ends * numbers.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What `_packed` was given, from the bytes of a column."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    # A column of empty rows may come without a buffer.
+    held = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.array([], np.uint8)
+    return (ends - ends[0]) // np.dtype(kind).itemsize, held.view(kind)
+
+
 def _share(first: np.ndarray, index: np.ndarray, values: np.ndarray, v: np.ndarray, out: np.ndarray) -> None:
     """Adds X'(Xv) of one block to `out`."""
     if v.shape[1] == 1:
@@ -56,7 +79,7 @@ def _share(first: np.ndarray, index: np.ndarray, values: np.ndarray, v: np.ndarr
 
 @dataclass(frozen=True)
 class Blocks:
-    """The written table (`first`, `index`, `value`, `label`), its number of columns, rows and tasks."""
+    """The written table (`index`, `value`, `label` per row), its number of columns, rows and tasks."""
 
     table: DataFrame
     width: int
@@ -69,22 +92,19 @@ class Blocks:
 
     @staticmethod
     def of(rows: DataFrame, width: int, label: str, features: str = "features") -> Blocks:
-        """Blocks of all rows; each task of `rows` makes its own."""
+        """A table of all rows, in the tasks of `rows`."""
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                first, index, value = entries(batch.column(0))
-                lists = [pa.array([x.tolist()], kind) for x, kind in ((first, pa.list_(pa.int32())), (index, pa.list_(pa.int32())), (value, pa.list_(pa.float64())))]
-                lists.append(pa.array([batch.column(1).to_pylist()], pa.list_(pa.float64())))
-                yield pa.RecordBatch.from_arrays(lists, names=["first", "index", "value", "label"])
-
-        schema = "first array<int>, index array<int>, value array<double>, label array<double>"
+                for start in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(start, ROWS)
+                    first, index, value = entries(part.column(0))
+                    yield pa.RecordBatch.from_arrays([_packed(first, index), _packed(first, value), part.column(1)], names=["index", "value", "label"])
+
+        schema = "index binary, value binary, label double"
         table = cut(rows.select(F.unwrap_udt(features).alias("x"), F.col(label).cast("double").alias("y")).mapInArrow(pack, schema))
-        total = F.aggregate("label", F.lit(0.0), lambda a, x: a + x)
-        sized = table.select(F.size("label").alias("n"), total.alias("sum"), F.spark_partition_id().alias("part"))
-        stats = sized.agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.count_distinct("part").alias("parts")).first()
+        sized = table.select("label", F.spark_partition_id().alias("part"))
+        stats = sized.agg(F.count("*").alias("n"), F.sum("label").alias("sum"), F.count_distinct("part").alias("parts")).first()
         if not stats["n"]:
             raise ValueError("no training rows")
         mean = stats["sum"] / stats["n"]
@@ -107,8 +127,10 @@ class Blocks:
 
             out, part = np.zeros((width, k)), TaskContext.get().partitionId()
             for batch in batches:
-                for block in zip(*(batch.column(c) for c in ("first", "index", "value", "label")), strict=True):
-                    add(*(x.values.to_numpy() for x in block), out)
+                for start in range(0, batch.num_rows, ROWS):
+                    piece = batch.slice(start, ROWS)
+                    (first, index), (_, value) = (_unpacked(piece.column(c), kind) for c, kind in (("index", np.int32), ("value", np.float64)))
+                    add(first, index, value, piece.column("label").to_numpy(), out)
             for chunk in range(0, width, CHUNK):
                 data = out[chunk : chunk + CHUNK].tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([chunk], pa.int64()), pa.array([data], pa.binary())], names=["part", "chunk", "data"])
@@ -120,7 +142,7 @@ class Blocks:
 
         schema = "part bigint, chunk bigint, data binary"
         level, parts = self.table.mapInArrow(shares, schema), self.parts
-        while parts > FAN:
+        while parts > 1:
             level = level.withColumn("part", F.expr(f"part div {FAN}")).groupBy("part", "chunk").applyInArrow(add_up, schema)
             parts = -(-parts // FAN)
         total = np.zeros((width, k))

@@ -28,6 +28,8 @@ NODES_AT_ONCE = 1_000
 # Tasks that grow nodes to the end.
 MOST_TASKS = 2_000
 FIELDS = ("feature", "bin", "left", "right", "value")
+# Trees are held as arrays of these: 21 bytes a node, where lists of Python numbers take 160 and more.
+KINDS = {"feature": np.int32, "bin": np.uint8, "left": np.int32, "right": np.int32, "value": np.float64}
 TREE = "tree bigint, root bigint, feature array<int>, bin array<int>, `left` array<int>, `right` array<int>, value array<double>"
 
 
@@ -142,7 +144,7 @@ class Forest:
     def load(spark: SparkSession, path: str) -> Forest:
         cuts = [np.array(r["cuts"]) for r in spark.read.parquet(f"{path}/cuts").orderBy("feature").collect()]
         rows = spark.read.parquet(f"{path}/trees").orderBy("tree").collect()
-        return Forest(cuts, np.array([r["root"] for r in rows]), {name: np.concatenate([np.array(r[name]) for r in rows]) for name in FIELDS})
+        return Forest(cuts, np.array([r["root"] for r in rows]), {name: np.concatenate([np.array(r[name], KINDS[name]) for r in rows]) for name in FIELDS})
 
 
 def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
@@ -262,23 +264,24 @@ def _finish(table: DataFrame, tops: list[dict], nodes: list[tuple[int, int]], le
     parts: dict[int, list] = {}
     # The work grows with rows times depth, not with bytes, so tasks are not merged by their size.
     spread = dealt.repartition(min(len(nodes), MOST_TASKS), "tree", "node")
-    for row in spread.groupBy("tree", "node").applyInArrow(finish, TREE).toLocalIterator():
-        parts.setdefault(row["tree"], []).append(row)
+    # All are grown at once and written; the driver then takes them in turn, as arrays.
+    for row in cut(spread.groupBy("tree", "node").applyInArrow(finish, TREE)).toLocalIterator():
+        parts.setdefault(row["tree"], []).append((row["root"], {name: np.array(row[name], KINDS[name]) for name in FIELDS}))
     roots, joined, total = [], {name: [] for name in FIELDS}, 0
     for tree, top in enumerate(tops):
-        whole = {name: list(x) for name, x in top.items()}
-        for part in sorted(parts.get(tree, []), key=lambda r: r["root"]):
+        whole = {name: [np.array(top[name], KINDS[name])] for name in FIELDS}
+        size = len(top["value"])
+        for root, part in sorted(parts.pop(tree, []), key=lambda x: x[0]):
             # The part's root takes the open node's place; its other nodes follow at the end.
-            shift = len(whole["value"]) - 1
-            moved = {name: list(part[name]) for name in FIELDS}
             for side in ("left", "right"):
-                moved[side] = [x + shift if f >= 0 else 0 for x, f in zip(moved[side], moved["feature"], strict=True)]
+                part[side] = np.where(part["feature"] >= 0, part[side] + (size - 1), 0).astype(KINDS[side])
             for name in FIELDS:
-                whole[name][part["root"]] = moved[name][0]
-                whole[name] += moved[name][1:]
+                whole[name][0][root] = part[name][0]
+                whole[name].append(part[name][1:])
+            size += len(part["value"]) - 1
         roots.append(total)
         for name in FIELDS:
             move = total if name in ("left", "right") else 0
-            joined[name].append(np.array(whole[name]) + move)
-        total += len(whole["value"])
+            joined[name] += [(x + move).astype(KINDS[name]) for x in whole[name]]
+        total += size
     return np.array(roots), {name: np.concatenate(x) for name, x in joined.items()}

@@ -354,3 +354,42 @@ def test_blend_features_hold_lowest_and_highest(spark):
     _, rows = blend_input(spark)
     row = rows.first()
     assert (row["lowest"], row["highest"]) == (pytest.approx(np.log1p(55)), pytest.approx(np.log1p(310)))
+
+
+def test_the_driver_receives_one_share_per_pass(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from notevalue.operators import blocks
+
+    rows = spark.createDataFrame([(Vectors.sparse(6000, [i, 5000], [1.0, 2.0]), float(i)) for i in range(12)], ["features", "y"])
+    table = blocks.Blocks.of(rows.repartition(6), 6000, "y")
+    frame = type(rows)
+    received, collect = [], frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: received.append(collect(df)) or received[-1])
+    spread = blocks.Blocks(table.table.repartition(6), 6000, table.count, 6, table.column_mean, table.label_mean, table.pull)
+    total = spread.times(np.eye(6000)[:, 5000:5001])
+    assert received[0].num_rows == -(-6000 // blocks.CHUNK)
+    assert total[5000, 0] == 48.0 and total[3, 0] == 2.0 and total[20, 0] == 0.0
+
+
+def test_rows_are_packed_as_bytes_and_come_back():
+    import pyarrow as pa
+
+    from notevalue.operators import blocks
+
+    ends, numbers = np.array([0, 2, 2, 5]), np.array([1.0, 2.0, 3.0, 4.0, 5.0])
+    column = blocks._packed(ends, numbers)
+    assert column.type == pa.binary()
+    first, back = blocks._unpacked(column.slice(1), np.float64)
+    assert first.tolist() == [0, 0, 3] and back.tolist() == [3.0, 4.0, 5.0]
+
+
+def test_grown_trees_are_held_as_narrow_arrays(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from notevalue.operators import forest
+
+    rows = spark.createDataFrame([(Vectors.dense([float(i), 1.0]), float(i > 20)) for i in range(40)], ["features", "y"])
+    fitted = forest.fit(rows, 2, "y", trees=3, depth=4, least=2, seed=1)
+    assert {name: x.dtype for name, x in fitted.nodes.items()} == {name: np.dtype(kind) for name, kind in forest.KINDS.items()}
+    assert len(fitted.roots) == 3 and fitted.nodes["value"].max() > 0.9
