@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notevalue.functions import fixed, text
+from notevalue.operators.blocks import pieces
 
 # Category names, and terms, are held by the driver while a model is built; beyond this the fit stops
 # with an error instead of running out of memory.
@@ -145,9 +146,10 @@ def term_table(
     total count, note count and smoothed inverse document frequency.
 
     Sorting a note's terms puts equal ones side by side, so one pass yields both counts, and both
-    are summed before the shuffle.
+    are summed before the shuffle. `sort_array` orders natively; `array_sort` would evaluate its
+    comparison as an expression for every pair of terms.
     """
-    sorted_terms = with_terms(df, ngrams, column).select(F.array_sort("_terms").alias("_terms"))
+    sorted_terms = with_terms(df, ngrams, column).select(F.sort_array("_terms").alias("_terms"))
     marked = F.transform(
         F.col("_terms"),
         lambda term, i: F.struct(term.alias("term"), ((i == 0) | (term != F.get(F.col("_terms"), i - 1))).alias("first")),
@@ -195,10 +197,15 @@ class TextVectors:
 
         @F.arrow_udf(VectorUDT())
         def weigh(counts: pa.Array) -> pa.Array:
-            rows, index, values = sparse_entries(counts)
-            weights = (1.0 + np.log(values)) * shared.value[index]
-            length = np.sqrt(np.bincount(rows, weights * weights, minlength=len(counts)))
-            scaled = pa.ListArray.from_arrays(counts.field("values").offsets, pa.array(weights / length[rows]))
+            offsets = counts.field("values").offsets
+            weights, end = np.empty(offsets[-1].as_py() - offsets[0].as_py()), 0
+            for piece in pieces(counts):
+                rows, index, values = sparse_entries(piece)
+                weight = (1.0 + np.log(values)) * shared.value[index]
+                length = np.sqrt(np.bincount(rows, weight * weight, minlength=len(piece)))
+                start, end = end, end + len(weight)
+                weights[start:end] = weight / length[rows]
+            scaled = pa.ListArray.from_arrays(offsets, pa.array(weights))
             fields = [counts.field("type"), counts.field("size"), counts.field("indices"), scaled]
             return pa.StructArray.from_arrays(fields, ["type", "size", "indices", "values"])
 

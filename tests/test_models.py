@@ -393,3 +393,11 @@ def test_grown_trees_are_held_as_narrow_arrays(spark):
     fitted = forest.fit(rows, 2, "y", trees=3, depth=4, least=2, seed=1)
     assert {name: x.dtype for name, x in fitted.nodes.items()} == {name: np.dtype(kind) for name, kind in forest.KINDS.items()}
     assert len(fitted.roots) == 3 and fitted.nodes["value"].max() > 0.9
+
+
+def test_terms_are_sorted_natively(spark, capsys):
+    from notevalue.operators.features import term_table
+
+    term_table(spark.createDataFrame([("one two one",)], ["description"]), min_df=1).explain()
+    plan = capsys.readouterr().out
+    assert "sort_array(" in plan and "array_sort(" not in plan
