@@ -153,14 +153,15 @@ def l9_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t1_stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing files arriving one after the other, with most listings arriving more than once."""
+    """Listings arriving in three lots, with most of them arriving more than once; the stream is resumed for each."""
     source, seen, out = (work_path(spark, f"stream-{part}") for part in ("in", "seen", "out"))
     # One name per document, so that a key stands for one listing.
     rows = view(spark, sf_dir, LISTINGS).withColumn("name", F.concat("name", F.lit(" no. "), F.col("id").cast("string")))
+    checkpoint = work_path(spark, "stream-checkpoint")
     for part in ("id % 2 = 0", "id % 3 = 0", "true"):
-        rows.filter(part).select("name", "note", "price", "url").coalesce(1).write.mode("append").json(source)
-    stream = spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1).json(source)
-    stream_plan(stream, _estimator, seen, out, work_path(spark, "stream-checkpoint")).awaitTermination()
+        # Written by all tasks; the stream then takes what has arrived as one batch and stops.
+        rows.filter(part).select("name", "note", "price", "url").write.mode("append").json(source)
+        stream_plan(spark.readStream.schema(LISTING_SCHEMA).json(source), _estimator, seen, out, checkpoint).awaitTermination()
     stored = spark.read.parquet(out)
     return stored.select("key", "price", "estimate", F.round("discount", 6).alias("discount"))
 

@@ -1,4 +1,5 @@
 import json
+import uuid
 import sys
 
 import pandas as pd
@@ -285,3 +286,14 @@ def test_an_allowance_of_nothing_asks_nobody(spark):
     done, left, spent = enrich.enrich_within(rows, scorer, 0)
     assert done.count() == 0 and left.count() == 2 and spent == 0
     assert enrich.enrich_within(rows.limit(0), scorer, 1_000)[2] == 0
+
+
+def test_the_streamed_plan_writes_its_listings_with_all_tasks(spark, small, monkeypatch):
+    from notevalue.plans.scanning import t1_stream_plan
+
+    def refuse(self, n):
+        raise AssertionError("all listings in one task")
+
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", refuse)
+    stored = t1_stream_plan(spark, small)
+    assert stored.count() == stored.select("key").distinct().count() > 0
