@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from notevalue.functions import fixed, replies, text
 from notevalue.operators.ordering import first_rows, running_total
 from notevalue.session import cut
 
+# Notes a scorer gets at once: so many, and so many bytes of them unless one alone is longer.
+BATCH_ROWS = 1_000
+BATCH_BYTES = 4 << 20
+
 # A scorer answers a batch of notes with JSON texts; the second argument counts the tries from 1.
 Scorer = Callable[[pd.Series, int], pd.Series]
 
@@ -56,19 +61,34 @@ def validate_replies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, read.filter(F.col("tasting").isNull()).select("id", "reply")
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """`batch` in turn, at most BATCH_ROWS rows and BATCH_BYTES of notes at a time, at least one row each."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("description")), 0).to_pylist()
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == BATCH_ROWS or total + size > BATCH_BYTES):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def _asked(rows: DataFrame, scorer: Scorer, attempt: int, workers: int | None) -> DataFrame:
     """`rows` with `reply` and `spent`: whether the allowance had ended when the row's batch was through."""
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spent = False
-        for batch in batches:
-            reply: list[str | None] = [None] * len(batch)
-            if len(batch) and not spent:
-                reply, spent = _replies(scorer, batch["description"], attempt)
-            yield batch.assign(reply=pd.Series(reply, index=batch.index, dtype="object"), spent=spent)
-
-    spread = rows.select("id", "description").repartition(workers, "id") if workers else rows.select("id", "description")
-    return spread.mapInPandas(ask, "id bigint, description string, reply string, spent boolean")
+        for part in (part for batch in batches for part in _parts(batch)):
+            reply: list[str | None] = [None] * part.num_rows
+            if not spent:
+                reply, spent = _replies(scorer, part.column("description").to_pandas(), attempt)
+            # Only replies pass through pandas; ids and notes go back as they came.
+            replied = pa.array(pd.Series(reply, dtype="object"), pa.string(), from_pandas=True)
+            yield pa.RecordBatch.from_arrays([*part.columns, replied, pa.array([spent] * part.num_rows)], names=["id", "description", "reply", "spent"])
+
+    spread = rows.select(F.col("id").cast("bigint").alias("id"), "description")
+    return (spread.repartition(workers, "id") if workers else spread).mapInArrow(ask, "id bigint, description string, reply string, spent boolean")
 
 
 def enrich(todo: DataFrame, scorer: Scorer, attempts: int = fixed.ATTEMPTS, workers: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -297,3 +297,23 @@ def test_the_streamed_plan_writes_its_listings_with_all_tasks(spark, small, monk
     monkeypatch.setattr(type(spark.range(1)), "coalesce", refuse)
     stored = t1_stream_plan(spark, small)
     assert stored.count() == stored.select("key").distinct().count() > 0
+
+
+def test_scorers_get_notes_in_bounded_batches(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(enrich, "BATCH_BYTES", 100)
+    sizes = tmp_path / "sizes"
+    sizes.mkdir()
+
+    def scorer(notes, attempt):
+        (sizes / uuid.uuid4().hex).write_text(f"{len(notes)} {notes.str.len().sum()}")
+        return notes.map(lambda note: json.dumps(GOOD))
+
+    rows = spark.createDataFrame([(i, "x" * (300 if i == 5 else 30)) for i in range(20)], "id bigint, description string").coalesce(1)
+    batch = rows.toArrow().to_batches()[0]
+    parts = list(enrich._parts(batch))
+    assert sum(part.num_rows for part in parts) == 20 and max(part.num_rows for part in parts) == 3
+    monkeypatch.undo()
+    monkeypatch.setattr(enrich, "BATCH_ROWS", 4)
+    assert [part.num_rows for part in enrich._parts(batch)] == [4] * 5
+    done, left = enrich.enrich(rows, scorer)
+    assert done.count() == 20 and left.count() == 0 and list(sizes.iterdir())
