@@ -27,12 +27,15 @@ from notevalue.llm.rows import slices
 
 MARK = "▁"
 # Text that is split into runs at once.
-SLICE_BYTES = 4 << 20
-# Runs a task remembers before it starts anew, and the longest of them in characters.
-MEMORY = 500_000
+SLICE_BYTES = 1 << 20
+# Runs a task remembers before it starts anew (about 50 MB), and the longest of them in characters.
+MEMORY = 250_000
 LONGEST = 64
 # Runs whose agendas advance together.
-TOGETHER = 100_000
+TOGETHER = 25_000
+# Ids that are decoded at once.
+SLICE_IDS = 1 << 18
+SLICE_ROWS = 1 << 14
 NEVER = float("inf")
 # Symbols are below this, so that a pair of them is one number.
 WIDE = 1 << 32
@@ -46,9 +49,9 @@ def piece_bpe_32k() -> str:
 
 
 class Pieces(dict):
-    """A vocabulary, and the ids of the runs met so far."""
+    """A vocabulary, and the ids of the runs met so far; what only encoding needs is made with `encodes`."""
 
-    def __init__(self, path: str, check: bool = True) -> None:
+    def __init__(self, path: str, check: bool = True, encodes: bool = True) -> None:
         from sentencepiece import SentencePieceProcessor
 
         self.check = check
@@ -57,15 +60,24 @@ class Pieces(dict):
         names = [library.id_to_piece(i) for i in ids]
         if any(map(library.is_unused, ids)):
             raise ValueError("vocabularies with unused pieces are not supported")
-        plain = [i for i in ids if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i))]
-        self.ids = {names[i]: i for i in plain}
-        self.cost = {names[i]: -library.get_score(i) for i in plain}
         self.bytes = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(map(library.is_byte, self.bytes)):
             raise ValueError("the vocabulary has no byte pieces")
         self.prefix = MARK if library.normalize("x").startswith(MARK) else ""
-        # Characters in pieces that are no pieces themselves are symbols above the ids; all others are negative.
         self.size = len(names)
+        if encodes:
+            self._prepare(names)
+        self.surface = [b"" if library.is_control(i) else " ⁇ ".encode() if library.is_unknown(i) else names[i].replace(MARK, " ").encode() for i in ids]
+        for value, i in enumerate(self.bytes):
+            self.surface[i] = bytes([value])
+        self.raw = set(self.bytes)
+        self.silent = {i for i in ids if library.is_control(i)}
+
+    def _prepare(self, names: list[str]) -> None:
+        plain = [i for i in range(self.size) if not (self.library.is_byte(i) or self.library.is_control(i) or self.library.is_unknown(i))]
+        self.ids = {names[i]: i for i in plain}
+        self.cost = {names[i]: -self.library.get_score(i) for i in plain}
+        # Characters in pieces that are no pieces themselves are symbols above the ids; all others are negative.
         self.others = sorted(set("".join(self.ids)) - set(self.ids))
         symbol = self.ids | {c: self.size + i for i, c in enumerate(self.others)}
         self.alphabet = np.full(0x110000, -1, np.int64)
@@ -78,11 +90,8 @@ class Pieces(dict):
         self.joined = {pair for name in self.ids for pair in pairwise(name)}
         crossing = any(MARK in name.lstrip(MARK) for name in self.ids)
         self.runs = re.compile(".+" if crossing else f"{MARK}+[^{MARK}]*|[^{MARK}]+", re.DOTALL)
-        self.surface = [b"" if library.is_control(i) else " ⁇ ".encode() if library.is_unknown(i) else names[i].replace(MARK, " ").encode() for i in ids]
-        for value, i in enumerate(self.bytes):
-            self.surface[i] = bytes([value])
-        self.raw = set(self.bytes)
-        self.silent = {i for i in ids if library.is_control(i)}
+        # One number object per id, shared by all remembered runs.
+        self.numbers = list(range(self.size))
 
     def _costs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The cost of each pair, and what it becomes; never, if no piece is spelt so."""
@@ -137,7 +146,7 @@ class Pieces(dict):
         found = symbols.tolist()
         for i, text in enumerate(runs):
             ids = found[ends[i] : ends[i + 1]]
-            self[text] = tuple(self._fallen_back(ids)) if i in odd else tuple(ids)
+            self[text] = tuple(map(self.numbers.__getitem__, self._fallen_back(ids) if i in odd else ids))
         for text, ids in zip(runs, self.library.encode([self._plain(text) for text in runs]) if self.check else (), strict=self.check):
             self._compare(text, list(self[text]), ids)
 
@@ -269,7 +278,7 @@ def decode(rows: DataFrame, model: Callable[[], str] = piece_bpe_32k, key: str =
     """`key, ids, text` per row; null ids count as none, and none give the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model(), check)
+        pieces = Pieces(model(), check, encodes=False)
 
         def decoded(key: object, numbers: list[int]) -> str:
             body = pieces.decode(numbers)
@@ -280,7 +289,14 @@ def decode(rows: DataFrame, model: Callable[[], str] = piece_bpe_32k, key: str =
         for batch in batches:
             lists = batch.column(1)
             numbers, ends = lists.flatten().to_numpy(), np.cumsum([0, *pa.compute.fill_null(lists.value_lengths(), 0).to_pylist()])
-            texts = [decoded(k.as_py(), numbers[a:b].tolist()) for k, (a, b) in zip(batch.column(0), pairwise(ends.tolist()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[key, "ids", "text"])
+            start = 0
+            while start < batch.num_rows:
+                # At least one row; the texts of a slice are bounded, not those of a batch.
+                end = max(start + 1, int(np.searchsorted(ends, ends[start] + SLICE_IDS, side="right")) - 1)
+                end = min(end, start + SLICE_ROWS, batch.num_rows)
+                part = batch.slice(start, end - start)
+                texts = [decoded(k.as_py(), numbers[a:b].tolist()) for k, (a, b) in zip(part.column(0), pairwise(ends[start : end + 1].tolist()), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[key, "ids", "text"])
+                start = end
 
     return rows.select(F.col(key), F.col(ids).alias("ids")).mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, ids array<int>, text string")

@@ -183,3 +183,11 @@ def test_totals_leave_unfinished_batches_out(spark, tmp_path):
     assert not ledger.committed("b") and [(r["docs"], r["tokens"]) for r in ledger.totals().collect()] == [(1, 2)]
     (tmp_path / "empty").mkdir()
     assert token_counts.Ledger(spark, str(tmp_path / "empty")).totals().count() == 0
+
+
+def test_a_decoder_holds_no_merge_tables_and_slices_its_batches(spark, monkeypatch):
+    pieces = sentence_pieces.Pieces(sentence_pieces.piece_bpe_32k(), encodes=False)
+    assert not hasattr(pieces, "pairs") and pieces.decode(pieces.library.encode("a plain text")) == "a plain text"
+    kept = sentence_pieces.Pieces(sentence_pieces.piece_bpe_32k())
+    kept.learn(["▁hello", "▁hello."])
+    assert all(x is kept.numbers[x] for ids in kept.values() for x in ids)
