@@ -108,7 +108,7 @@ def _repeated_words(words: str) -> Column:
     """Words inside windows of WINDOW words that occur twice or more in the text."""
     last = F.size(words) - WINDOW + 1
     at = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    hashed = F.transform(at, lambda i: F.struct(F.xxhash64(*[F.get(F.col(words), i + k - 1) for k in range(WINDOW)]).alias("h"), i.alias("i")))
+    hashes = F.transform(at, lambda i: F.xxhash64(*[F.get(F.col(words), i + k - 1) for k in range(WINDOW)]))
 
     def twice(rows: Column) -> Column:
         def same(x: Column, k: Column) -> Column:
@@ -120,8 +120,13 @@ def _repeated_words(words: str) -> Column:
         gaps = F.transform(places, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - p, F.lit(WINDOW))))
         return F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
 
-    # sort_array orders natively; array_sort would evaluate its comparison as an expression for every pair.
-    return let(F.sort_array(hashed), lambda rows: let(F.sort_array(twice(rows)), covered))
+    def counted(hashed: Column) -> Column:
+        # sort_array orders natively; array_sort would evaluate its comparison as an expression for every pair.
+        rows = F.sort_array(F.transform(hashed, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
+        # Most texts repeat no window, which a hash set tells without sorting.
+        return F.when(F.size(F.array_distinct(hashed)) == F.size(hashed), 0).otherwise(let(rows, lambda rows: let(F.sort_array(twice(rows)), covered)))
+
+    return let(hashes, counted)
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
