@@ -21,6 +21,8 @@ from notevalue.session import cut
 # Shares that one task of the tree adds up, and columns of X per row of a share.
 FAN = 16
 CHUNK = 4096
+# What a pass sends out and gets back, unless one column alone is longer; wider V take several passes.
+PASS_BYTES = 24 << 20
 # Rows of a batch that are worked on at once.
 ROWS = 1024
 # Directions a sketch takes beyond those that are asked for, and the passes that refine it.
@@ -114,10 +116,16 @@ class Blocks:
 
     def times(self, v: np.ndarray, centred: bool = False) -> np.ndarray:
         """X'(XV), or the same with every column's mean taken off X."""
-        shared = self.table.sparkSession.sparkContext.broadcast(np.ascontiguousarray(v))
-        total = self._tree(lambda first, index, value, label, out: _share(first, index, value, shared.value, out), v.shape[1])
-        shared.destroy()
-        return total - self.count * np.outer(self.column_mean, self.column_mean @ v) if centred else total
+        context, total = self.table.sparkSession.sparkContext, np.empty(v.shape)
+        step = max(1, PASS_BYTES // (8 * self.width))
+        for start in range(0, v.shape[1], step):
+            shared = context.broadcast(np.ascontiguousarray(v[:, start : start + step]))
+            add = lambda first, index, values, label, out, shared=shared: _share(first, index, values, shared.value, out)
+            total[:, start : start + step] = self._tree(add, min(step, v.shape[1] - start))
+            shared.destroy()
+        if centred:
+            total -= self.count * np.outer(self.column_mean, self.column_mean @ v)
+        return total
 
     def _tree(self, add, k: int) -> np.ndarray:
         width = self.width
@@ -157,6 +165,35 @@ def _column_sums(first: np.ndarray, index: np.ndarray, values: np.ndarray, label
     out[:, 1] += np.bincount(index, values * np.repeat(label, np.diff(first)), minlength=len(out))
 
 
+def orthonormal(a: np.ndarray) -> np.ndarray:
+    """The Q of a tall matrix's QR, written over it.
+
+    Blocks of rows are factored one by one and their triangles together, so nothing of the whole
+    matrix's size is allocated. Columns have the signs that `numpy.linalg.qr` gives them.
+    """
+    count, width = a.shape
+    if count <= CHUNK or width > CHUNK:
+        return np.linalg.qr(a)[0]
+    triangles = []
+    for start in range(0, count, CHUNK):
+        q, triangle = np.linalg.qr(a[start : start + CHUNK])
+        a[start : start + CHUNK, : q.shape[1]] = q
+        triangles.append(triangle)
+    joint, end = np.linalg.qr(np.concatenate(triangles))[0], 0
+    for start, triangle in zip(range(0, count, CHUNK), triangles, strict=True):
+        begin, end = end, end + len(triangle)
+        a[start : start + CHUNK] = a[start : start + CHUNK, : len(triangle)] @ joint[begin:end]
+    # Householder's method turns each pivot away from its own sign; the pivots are those of this elimination.
+    top, signs = a[:width].copy(), np.empty(width)
+    for i in range(width):
+        signs[i] = -1.0 if top[i, i] >= 0 else 1.0
+        top[i, i] -= signs[i]
+        top[i + 1 :, i] /= top[i, i]
+        top[i + 1 :, i + 1 :] -= np.outer(top[i + 1 :, i], top[i, i + 1 :])
+    a *= signs
+    return a
+
+
 def top_directions(blocks: Blocks, k: int, centred: bool = False, passes: int = PASSES, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The first `k` eigenvalues of X'X, descending, and their directions, one per column.
 
@@ -166,15 +203,15 @@ def top_directions(blocks: Blocks, k: int, centred: bool = False, passes: int =
     """
     k = min(k, blocks.width)
     size = min(k + EXTRA, blocks.width)
-    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((blocks.width, size)))[0]
-    for _ in range(passes):
+    block = orthonormal(np.random.default_rng(seed).standard_normal((blocks.width, size)))
+    for i in range(passes):
         image = blocks.times(block, centred)
         values, turn = np.linalg.eigh(block.T @ image)
-        found = np.maximum(values[::-1][:k], 0.0), (block @ turn[:, ::-1])[:, :k]
-        if size == blocks.width:
+        if i == passes - 1 or size == blocks.width:
             break
-        block = np.linalg.qr(image)[0]
-    return found
+        block = orthonormal(image)
+    del image
+    return np.maximum(values[::-1][:k], 0.0), (block @ turn[:, ::-1])[:, :k]
 
 
 def ridge(blocks: Blocks, alpha: float, rank: int = 20, tolerance: float = 1e-10, most: int = 500) -> tuple[np.ndarray, float]:

@@ -412,3 +412,27 @@ def test_ink_is_whatever_is_no_whitespace(spark):
     blank = F.regexp_like("c", F.lit(f"^[{text.SPACE}]$"))
     assert points.filter(F.regexp_like("c", F.lit(f"^{text.INK}$")) == blank).count() == 0
     assert points.filter(blank).count() > 20
+
+
+def test_an_orthonormal_base_is_made_in_place_with_the_usual_signs(monkeypatch):
+    from notevalue.operators import blocks
+
+    monkeypatch.setattr(blocks, "CHUNK", 16)
+    for count in (70, 64, 17):
+        a = np.random.default_rng(count).standard_normal((count, 9))
+        expected = np.linalg.qr(a)[0]
+        assert blocks.orthonormal(a) is a and np.allclose(a, expected, atol=1e-10)
+
+
+def test_wide_products_take_several_passes(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from notevalue.operators import blocks
+
+    x = np.random.default_rng(3).standard_normal((30, 5))
+    table = blocks.Blocks.of(spark.createDataFrame([(Vectors.dense(row), 0.0) for row in x], ["features", "y"]), 5, "y")
+    widths, tree = [], blocks.Blocks._tree
+    monkeypatch.setattr(blocks, "PASS_BYTES", 8 * 5 * 2)
+    monkeypatch.setattr(blocks.Blocks, "_tree", lambda self, add, k: widths.append(k) or tree(self, add, k))
+    assert np.allclose(table.times(np.eye(5), centred=True), (x - x.mean(0)).T @ (x - x.mean(0)))
+    assert widths == [2, 2, 1]
