@@ -117,17 +117,15 @@ def search(queries: DataFrame, index: InvertedFile, k: int, probes: int, block_r
         return spark.createDataFrame([], "q bigint, rank bigint, id bigint, dist double")
     shared = spark.sparkContext.broadcast(index.centres)
 
-    @F.pandas_udf("array<int>")
-    def nearest_files(embedding: pd.Series) -> pd.Series:
-        found = []
-        for start in range(0, len(embedding), retrieve.CHUNK):
-            away = _squared(retrieve.matrix(embedding.iloc[start : start + retrieve.CHUNK]), shared.value)
-            found += list(np.argpartition(away, probes - 1, axis=1)[:, :probes])
-        return pd.Series(found, index=embedding.index)
+    def nearest_files(embedding: np.ndarray) -> np.ndarray:
+        asked = np.zeros((len(embedding), len(shared.value)), bool)
+        np.put_along_axis(asked, np.argpartition(_squared(embedding, shared.value), probes - 1, axis=1)[:, :probes], True, 1)
+        return asked
 
-    usable = queries.filter(F.col("embedding").isNotNull())
-    visitors = cut(usable.select("q", "embedding", F.explode(nearest_files("embedding")).alias("cell")))
-    return retrieve.compare_cells(index.rows, visitors, k, block_rows)
+    usable = queries.filter(F.col("embedding").isNotNull()).select("q", "embedding")
+    # One row per file.
+    files = index.rows.groupBy("cell").agg(F.count("*").alias("n")).toPandas()
+    return retrieve.compare_cells(index.rows, files, usable, nearest_files, len(index.centres), k, block_rows)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

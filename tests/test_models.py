@@ -246,6 +246,51 @@ def test_search_is_exact_on_both_paths(spark, options, shape):
     assert got == brute(queries, rows, 7)
 
 
+@pytest.mark.parametrize("far", [0.0, 1e4, 1e20])
+def test_rows_compared_in_single_precision_are_ordered_in_double(far):
+    rng = np.random.default_rng(9)
+    data = np.vstack([rng.normal(size=(150, 5)), 1e-5 * rng.normal(size=(150, 5)), np.repeat(rng.normal(size=(3, 5)), 40, 0)]) + far
+    ids = rng.permutation(len(data))
+    best = retrieve._no_neighbours(len(data), 6)
+    for part in np.array_split(np.arange(len(data)), 4):
+        retrieve._nearest(data, *retrieve._without_spare(ids[part], data[part], 6), best, 50)
+    plain = ((data[:, None, :] - data[None, :, :]) ** 2).sum(2)
+    order = np.lexsort((np.broadcast_to(ids, plain.shape), plain), axis=1)[:, :6]
+    assert (best[1] == ids[order]).all() and (best[0] == np.take_along_axis(plain, order, 1)).all()
+
+
+def test_searched_rows_travel_once_per_tile_not_per_block(spark):
+    """Before, every query was copied for each of the blocks of 10 rows that its cells were split into."""
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(2_000, 16)))], "id bigint, embedding array<double>")
+    asked = rows.withColumnRenamed("id", "q").filter("q < 200")
+    seen = spark.sparkContext.accumulator(0)
+    as_rows = retrieve._as_rows
+
+    def counted(keys, dists, found):
+        seen.add(len(keys))
+        return as_rows(keys, dists, found)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(retrieve, "_as_rows", counted)
+        found = retrieve.knn(asked, rows, 3, broadcast_bytes=0, pivots=4, block_rows=10).collect()
+    assert len(found) == 600
+    assert 200 <= seen.value <= 200 * 2 * retrieve.TILES
+
+
+def test_many_copies_of_a_vector_keep_the_smallest_ids_and_missing_ids_come_last(spark):
+    rows = [(None if i == 7 else i, [1.0, 2.0]) for i in range(50)] + [(900 + i, [1.0, 2.5 + i]) for i in range(3)]
+    corpus = spark.createDataFrame(rows, "id bigint, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [1.0, 2.5]), (3, [1.0, 2.5])], "q bigint, embedding array<double>")
+    for options in ({}, {"broadcast_bytes": 0, "pivots": 2, "block_rows": 5}):
+        got = {}
+        for r in retrieve.knn(asked, corpus, 4, **options).orderBy("q", "rank").collect():
+            got.setdefault(r["q"], []).append(r["id"])
+        assert got == {1: [0, 1, 2, 3], 2: [0, 1, 2, 3], None: [900, 0, 1, 2], 3: [900, 0, 1, 2]}
+    few = corpus.filter("id is null or id < 2")
+    assert [r["id"] for r in retrieve.knn(asked.filter("q = 1"), few, 4, broadcast_bytes=0).orderBy("rank").collect()] == [0, 1, None]
+
+
 @pytest.mark.parametrize("shape", ["spread", "copies"])
 def test_an_inverted_file_is_exact_when_all_files_are_asked(spark, tmp_path, shape):
     rng = np.random.default_rng(8)
