@@ -29,7 +29,7 @@ from notevalue.session import cut
 SIDES = "n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, links array<bigint>, times array<bigint>"
 # A link's code is its A id times this, plus its B id.
 STRIDE = 1 << 31
-# Groups that are hashed at once.
+# Tokens whose names are hashed at once.
 BLOCK = 1 << 16
 
 
@@ -39,7 +39,6 @@ class Tokenizer:
     def __init__(self, encode: Callable[[str], np.ndarray], surface: list[bytes]) -> None:
         self.encode = encode
         self.surface = surface
-        self.names = list(map(str, range(len(surface))))
         self.sizes = np.array([len(x) for x in surface], np.int64)
 
     def ends(self, ids: np.ndarray) -> np.ndarray:
@@ -83,20 +82,20 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[tuple[bool, int,
     width = 8
     left, right = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
     at_a, at_b = memoryview(left).cast("q"), memoryview(right).cast("q")
-    count = len(ends_a)
+    count, size = len(ends_a), len(left)
     i = j = 0
     while i < count:
         # Probe ahead in step, doubling, then halving: slices past either end differ in length or are cut alike.
         shift, start, step = (j - i) * width, i, 1
         p = i * width
-        while left[p : p + step * width] == right[p + shift : p + shift + step * width] and p < len(left):
+        while left[p : p + step * width] == right[p + shift : p + shift + step * width] and p < size:
             p += step * width
             step *= 2
-        p = min(p, len(left))
+        p = min(p, size)
         while step > 1:
             step //= 2
-            if p < len(left) and left[p : p + step * width] == right[p + shift : p + shift + step * width]:
-                p = min(p + step * width, len(left))
+            if p < size and left[p : p + step * width] == right[p + shift : p + shift + step * width]:
+                p = min(p + step * width, size)
         i = p // width
         j = i + shift // width
         if i > start:
@@ -122,6 +121,9 @@ class Aligner:
 
     def __init__(self, first: Tokenizer, second: Tokenizer) -> None:
         self.first, self.second = first, second
+        # Names with what follows them: within a side of a group a comma; after its A side a bar, after its B side a semicolon.
+        counts = [len(first.surface), len(second.surface)]
+        self.names = [f"{i}{after}" for count, last in zip(counts, "|;", strict=True) for after in (",", last) for i in range(count)]
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Both rows of ids; none where either does not spell a space and the text."""
@@ -142,24 +144,29 @@ class Aligner:
         a, b = self.tokens(text)
         if not len(a):
             return 0, 0, 0, "", a, a
-        names_a, names_b = (list(map(side.names.__getitem__, ids.tolist())) for side, ids in ((self.first, a), (self.second, b)))
-        digest, held, stretches = hashlib.sha256(), [], []
-        for in_step, i, j, i2, j2 in groups(self.first.ends(a), self.second.ends(b)):
-            if in_step:
-                held += [f"{p}|{q}" for p, q in zip(names_a[i:i2], names_b[j:j2], strict=True)]
-                stretches.append((i, j, i2 - i))
-            else:
-                held.append(f"{','.join(names_a[i:i2])}|{','.join(names_b[j:j2])}")
-                stretches.append((i2 - 1, j2 - 1, 1))
-            if len(held) > BLOCK:
-                # The last one waits, as no separator may follow the last of all.
-                digest.update((";".join(held[:-1]) + ";").encode())
-                held = held[-1:]
-        digest.update(";".join(held).encode())
+        stretches = [(i, j, i2 - i) if in_step else (i2 - 1, j2 - 1, 1) for in_step, i, j, i2, j2 in groups(self.first.ends(a), self.second.ends(b))]
         i, j, size = np.array(stretches).T
         step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        links, times = np.unique(a[np.repeat(i, size) + step] * STRIDE + b[np.repeat(j, size) + step], return_counts=True)
-        return len(a), len(b), len(step), digest.hexdigest(), links, times
+        # Where each group's last A and B token stand; they are linked.
+        i, j = np.repeat(i, size) + step, np.repeat(j, size) + step
+        links, times = np.unique(a[i] * STRIDE + b[j], return_counts=True)
+        return len(a), len(b), len(step), self._digest(a, b, i, j), links, times
+
+    def _digest(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+        """Of all groups in order, each its A ids and then its B ids."""
+        line = np.empty(len(a) + len(b), np.int64)
+        before_b, after_a = np.concatenate([[0], last_b[:-1] + 1]), last_a + 1
+        own_a, own_b = a.copy(), b + 2 * len(self.first.surface)
+        own_a[last_a] += len(self.first.surface)
+        own_b[last_b] += len(self.second.surface)
+        line[np.arange(len(a)) + np.repeat(before_b, np.diff(last_a, prepend=-1))] = own_a
+        line[np.arange(len(b)) + np.repeat(after_a, np.diff(last_b, prepend=-1))] = own_b
+        digest = hashlib.sha256()
+        for start in range(0, len(line), BLOCK):
+            part = "".join(map(self.names.__getitem__, line[start : start + BLOCK].tolist()))
+            # No separator follows the last group.
+            digest.update((part if start + BLOCK < len(line) else part[:-1]).encode())
+        return digest.hexdigest()
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:

@@ -96,6 +96,24 @@ def test_runs_are_found_wherever_ends_agree():
         assert found == [(ends[0].index(e) + 1, ends[1].index(e) + 1) for e in common]
 
 
+def test_groups_are_hashed_from_arrays_whatever_the_block(monkeypatch):
+    """Before, the names of every group were put together one by one, and a group of any length at once."""
+    rng = random.Random(8)
+    sides_ = [alignment.Tokenizer(None, [b"x" * n for n in range(1, 30)]) for _ in range(2)]
+    aligner = alignment.Aligner(*sides_)
+    for block in (1, 2, 3, 1 << 16):
+        monkeypatch.setattr(alignment, "BLOCK", block)
+        for _ in range(50):
+            size = rng.randrange(1, 28)
+            ends = [sorted({size, *rng.sample(range(1, size + 1), rng.randrange(size))}) for _ in range(2)]
+            a, b = (np.diff(e, prepend=0) - 1 for e in ends)
+            common = sorted(set(ends[0]) & set(ends[1]))
+            last = [np.array([e.index(c) for c in common]) for e in ends]
+            cuts = [np.split(ids, at[:-1] + 1) for ids, at in zip((a, b), last, strict=True)]
+            plain = ";".join("|".join(",".join(map(str, side)) for side in pair) for pair in zip(*cuts, strict=True))
+            assert aligner._digest(a, b, *last) == sha(plain)
+
+
 def test_possible_links_bound_all_linked_pairs():
     sides_ = [alignment.Tokenizer(None, x) for x in ([b"a", b"ba", b"c"], [b"a", b"a", b"ba", b"xc"])]
     pairs = [(a, b) for a in sides_[0].surface for b in sides_[1].surface if a.endswith(b) or b.endswith(a)]
